@@ -1,21 +1,20 @@
-"""Three ways to look into a nested record with column expressions.
+"""Three ways to look into a nested record, written as SQL expressions.
 
 Each reader answers the same questions about a record, so the row builder in
-``operators.flatten`` is written once:
+``operators.flatten`` is written once. All arguments and results are SQL text:
 
-``instances(node, keys, level)``  the instances of a collection as an array of entries
-``instance_id(entry)``            the name of an instance
-``body(entry)``                   the node below an instance
+``instances(node, keys, level)``  the instances of a collection, an array of ``key, value``
 ``present(node, template)``       is the leaf's key there (a JSON null counts)?
 ``text(node, template)``          the leaf as text
 
-An object is never a leaf.
+An object is never a leaf. SQL text instead of column objects keeps the driver's work small:
+one call to Spark per expression instead of thousands.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
-from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,25 +24,41 @@ from pathloom.plans.templates import MARK, Template
 
 OBJECT = "map<string,variant>"
 UNEXPECTED = "__unexpected"
+_ITEMS = "array<struct<ids:array<string>,template:int,text:string>>"
+_NODE = f"struct<own:{_ITEMS},below:{_ITEMS}>"
+_ENTRIES = f"array<struct<key:string,value:{_NODE}>>"
+_VARIABLES = count()
 
-# A number with a fraction or exponent, or an array holding arrays or objects.
-_LOSSY_AS_STRING = r"[:,\[]\s*+(?:-?[0-9]++[.eE]|(?<!:\s{0,8})[{\[])"
 
+def sql_text(value: str) -> str:
+    """SQL literal of a string."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
-def lossy_as_string(value: Column) -> Column:
-    """Might a leaf of this JSON text lose something when it is parsed as a string?
 
-    A JSON null is present but NULL, a string that starts with a brace looks like an object,
-    and fractions and nested arrays are rewritten. The test reads the text, not the leaves,
-    and may say yes too often, never too seldom.
-    """
-    tests = [value.contains(t) for t in ("null", '"{', '"\\u007')]
-    return reduce(Column.__or__, tests) | value.rlike(_LOSSY_AS_STRING)
+def sql_name(name: str) -> str:
+    """Quoted SQL identifier."""
+    return f"`{name.replace('`', '``')}`"
+
+
+def fresh() -> str:
+    """Name of a lambda variable that no other lambda uses."""
+    return f"v{next(_VARIABLES)}"
+
 
+def higher_order(function: str, array: str, body: Callable[[str], str]) -> str:
+    variable = fresh()
+    return f"{function}({array}, {variable} -> {body(variable)})"
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` evaluated once per row."""
-    return F.transform(F.array(value), body).getItem(0)
+
+def let(value: str, body: Callable[[str], str], result_type: str) -> str:
+    """``body(value)`` with ``value`` evaluated once per row.
+
+    Folding a one-element array does so without deriving the type of ``body`` for every row, as
+    taking the element of a transformed array would.
+    """
+    unused, variable = fresh(), fresh()
+    return f"aggregate(array({value}), CAST(NULL AS {result_type}), ({unused}, {variable}) -> {body(variable)})"
 
 
 def json_path(keys: Iterable[str]) -> str:
@@ -56,8 +71,23 @@ def json_path(keys: Iterable[str]) -> str:
     return path
 
 
-def is_object(value: Column, path: str = "$") -> Column:
-    return F.try_variant_get(value, path, OBJECT).isNotNull()
+def variant_part(node: str, keys: Iterable[str], type_name: str) -> str:
+    return f"try_variant_get({node}, {sql_text(json_path(keys))}, '{type_name}')"
+
+
+def may_mislead(value: str) -> str:
+    """Might parsing this JSON text into strings hide which keys are there?
+
+    A JSON null is present but NULL, and a string that starts with a brace looks like an
+    object. The test reads the text and may say yes too often, never too seldom.
+    """
+    return "(" + " OR ".join(f"contains({value}, {sql_text(t)})" for t in ("null", '"{', '"\\u007')) + ")"
+
+
+def may_be_rewritten(text: str) -> str:
+    """Might this leaf, parsed as a string, be a fraction or array that lost its own form?"""
+    number = sql_text("^-?[0-9]+[.][0-9]+(E-?[0-9]+)?$")
+    return f"(({text} < ':' AND contains({text}, '.') AND {text} RLIKE {number}) OR startswith({text}, '['))"
 
 
 class TypedRecord:
@@ -104,25 +134,22 @@ class TypedRecord:
     def parse(self, value: Column) -> Column:
         return F.from_json(value, self.schema, {"columnNameOfCorruptRecord": UNEXPECTED})
 
-    def node(self, parsed: Column) -> Column:
-        return reduce(Column.getField, self.root, parsed)
-
-    def instances(self, node: Column, keys: Sequence[str], level: int) -> Column:
-        return F.map_entries(reduce(Column.getField, keys, node))
+    def node(self, parsed: str) -> str:
+        return self._field(parsed, self.root)
 
-    def instance_id(self, entry: Column) -> Column:
-        return entry.getField("key")
+    def _field(self, node: str, keys: Iterable[str]) -> str:
+        return ".".join([node, *map(sql_name, keys)])
 
-    def body(self, entry: Column) -> Column:
-        return entry.getField("value")
+    def instances(self, node: str, keys: Sequence[str], level: int) -> str:
+        return f"map_entries({self._field(node, keys)})"
 
-    def present(self, node: Column, template: Template) -> Column:
-        leaf = reduce(Column.getField, template.leaf, node)
-        return leaf.isNotNull() & ~leaf.startswith("{")
+    def present(self, node: str, template: Template) -> str:
+        leaf = self._field(node, template.leaf)
+        return f"({leaf} IS NOT NULL AND NOT startswith({leaf}, '{{'))"
 
-    def text(self, node: Column, template: Template) -> Column:
-        leaf = reduce(Column.getField, template.leaf, node)
-        return F.when(~leaf.startswith("{"), leaf)
+    def text(self, node: str, template: Template) -> str:
+        leaf = self._field(node, template.leaf)
+        return f"CASE WHEN NOT startswith({leaf}, '{{') THEN {leaf} END"
 
 
 class VariantRecord:
@@ -131,117 +158,95 @@ class VariantRecord:
     def __init__(self, root: Sequence[str]) -> None:
         self.root = tuple(root)
 
-    def node(self, parsed: Column) -> Column:
-        return F.try_variant_get(parsed, json_path(self.root), "variant") if self.root else parsed
+    def node(self, parsed: str) -> str:
+        return variant_part(parsed, self.root, "variant") if self.root else parsed
 
-    def instances(self, node: Column, keys: Sequence[str], level: int) -> Column:
-        return F.map_entries(F.try_variant_get(node, json_path(keys), OBJECT))
+    def instances(self, node: str, keys: Sequence[str], level: int) -> str:
+        return f"map_entries({variant_part(node, keys, OBJECT)})"
 
-    def instance_id(self, entry: Column) -> Column:
-        return entry.getField("key")
+    def present(self, node: str, template: Template) -> str:
+        leaf = variant_part(node, template.leaf, "variant")
+        return f"({leaf} IS NOT NULL AND {variant_part(node, template.leaf, OBJECT)} IS NULL)"
 
-    def body(self, entry: Column) -> Column:
-        return entry.getField("value")
-
-    def present(self, node: Column, template: Template) -> Column:
-        path = json_path(template.leaf)
-        return F.try_variant_get(node, path, "variant").isNotNull() & ~is_object(node, path)
-
-    def text(self, node: Column, template: Template) -> Column:
-        path = json_path(template.leaf)
-        text = F.try_variant_get(node, path, "string")
-        return F.when(~(text.startswith("{") & is_object(node, path)), text)
+    def text(self, node: str, template: Template) -> str:
+        text = variant_part(node, template.leaf, "string")
+        object_ = variant_part(node, template.leaf, OBJECT)
+        return f"CASE WHEN NOT startswith({text}, '{{') OR {object_} IS NULL THEN {text} END"
 
 
 class PathRecord:
     """Reads records held as an array of ``(ids, template, text)``, made from a path map.
 
-    Sorting by ids puts the leaves of an instance side by side, so taking a record apart is
-    linear in its leaves instead of one search of the whole map per value.
+    Sorting by ids puts the leaves of an instance side by side, so a record is taken apart
+    instance by instance instead of searching the whole map for every value.
     """
 
     def __init__(self, templates: Sequence[Template], id_pattern: str) -> None:
         self.numbers = {t.path: n for n, t in enumerate(templates)}
-        self.patterns = {t.path: template_regex(t, id_pattern) for t in templates}
+        self.id_pattern = id_pattern
         self.templates = templates
 
-    def node(self, path_map: Column) -> Column:
+    def node(self, path_map: str) -> str:
         """Root node of a path map."""
-
-        def matches(entries: Column) -> Column:
-            return F.sort_array(F.flatten(F.array(*[self._matches(entries, t) for t in self.templates])))
-
-        wanted = "|".join(self.patterns.values())
-        pruned = F.filter(F.map_entries(path_map), lambda e: e.getField("key").rlike(wanted))
-        return let(let(pruned, matches), lambda items: self._split(items, 0))
-
-    def _matches(self, entries: Column, template: Template) -> Column:
-        at, positions = 0, []
+        wanted = sql_text("|".join(template_regex(t, self.id_pattern) for t in self.templates))
+        pruned = higher_order("filter", f"map_entries({path_map})", lambda e: f"{e}.key RLIKE {wanted}")
+        of_each = lambda items: ", ".join(self._matches(items, t) for t in self.templates)
+        items = let(pruned, lambda leaves: f"sort_array(flatten(array({of_each(leaves)})))", _ITEMS)
+        return let(items, lambda i: self._split(i, 0), _NODE)
+
+    def _matches(self, leaves: str, template: Template) -> str:
+        at, ids = 0, []
+        item = fresh()
         for collection in template.collections:
             at += len(collection) + 1
-            positions.append(at)
-
-        def item(entry: Column) -> Column:
-            key = entry.getField("key")
-            ids = [F.split_part(key, F.lit("."), F.lit(p)) for p in positions]
-            return F.struct(
-                (F.array(*ids) if ids else F.array().cast("array<string>")).alias("ids"),
-                F.lit(self.numbers[template.path]).alias("template"),
-                entry.getField("value").alias("text"),
-            )
-
-        pattern = self.patterns[template.path]
-        return F.transform(F.filter(entries, lambda e: e.getField("key").rlike(pattern)), item)
-
-    def _split(self, items: Column, level: int) -> Column:
-        depth = lambda item: F.size(item.getField("ids"))
-        return F.struct(
-            F.filter(items, lambda i: depth(i) == level).alias("own"),
-            F.filter(items, lambda i: depth(i) > level).alias("below"),
+            ids.append(f"split_part({item}.key, '.', {at})")
+        number = self.numbers[template.path]
+        pattern = sql_text(template_regex(template, self.id_pattern))
+        matching = higher_order("filter", leaves, lambda e: f"{e}.key RLIKE {pattern}")
+        names = f"CAST(array({', '.join(ids)}) AS array<string>)"
+        return (
+            f"transform({matching}, {item} -> "
+            f"named_struct('ids', {names}, 'template', {number}, 'text', {item}.value))"
         )
 
-    def instances(self, node: Column, keys: Sequence[str], level: int) -> Column:
-        name = lambda items, at: F.element_at(items, at).getField("ids").getItem(level)
-
-        def cut(items: Column) -> Column:
-            starts = F.filter(
-                F.sequence(F.lit(1), F.size(items)),
-                lambda at: (at == 1) | (name(items, at) != name(items, at - 1)),
+    def _split(self, items: str, level: int) -> str:
+        own = higher_order("filter", items, lambda i: f"size({i}.ids) = {level}")
+        below = higher_order("filter", items, lambda i: f"size({i}.ids) > {level}")
+        return f"named_struct('own', {own}, 'below', {below})"
+
+    def instances(self, node: str, keys: Sequence[str], level: int) -> str:
+        def cut(items: str) -> str:
+            starts = higher_order(
+                "filter",
+                f"sequence(1, size({items}))",
+                lambda at: f"{at} = 1 OR {items}[{at} - 1].ids[{level}] <> {items}[{at} - 2].ids[{level}]",
             )
-            return let(starts, lambda marks: F.transform(marks, lambda at, n: piece(items, marks, at, n)))
-
-        def piece(items: Column, marks: Column, at: Column, n: Column) -> Column:
-            end = F.coalesce(F.get(marks, n + 1), F.size(items) + 1)
-            return F.struct(
-                name(items, at).alias("key"),
-                let(F.slice(items, at, end - at), lambda own: self._split(own, level + 1)).alias("value"),
-            )
-
-        below = node.getField("below")
-        return F.when(F.size(below) > 0, cut(below))
+            return let(starts, lambda marks: f"transform({marks}, {piece(items, marks)})", _ENTRIES)
 
-    def instance_id(self, entry: Column) -> Column:
-        return entry.getField("key")
+        def piece(items: str, marks: str) -> str:
+            at, n = fresh(), fresh()
+            end = f"coalesce(get({marks}, {n} + 1), size({items}) + 1)"
+            inside = let(f"slice({items}, {at}, {end} - {at})", lambda i: self._split(i, level + 1), _NODE)
+            return f"({at}, {n}) -> named_struct('key', {items}[{at} - 1].ids[{level}], 'value', {inside})"
 
-    def body(self, entry: Column) -> Column:
-        return entry.getField("value")
+        return f"CASE WHEN size({node}.below) > 0 THEN {cut(f'{node}.below')} END"
 
-    def _found(self, node: Column, template: Template) -> Column:
+    def _found(self, node: str, template: Template) -> str:
         number = self.numbers[template.path]
-        return F.filter(node.getField("own"), lambda i: i.getField("template") == number)
+        return higher_order("filter", f"{node}.own", lambda i: f"{i}.template = {number}")
 
-    def present(self, node: Column, template: Template) -> Column:
-        return F.size(self._found(node, template)) > 0
+    def present(self, node: str, template: Template) -> str:
+        return f"size({self._found(node, template)}) > 0"
 
-    def text(self, node: Column, template: Template) -> Column:
-        return F.get(self._found(node, template), F.lit(0)).getField("text")
+    def text(self, node: str, template: Template) -> str:
+        return f"get({self._found(node, template)}, 0).text"
 
 
 def template_regex(template: Template, id_pattern: str) -> str:
     """Whole-string regex of the paths a template stands for."""
-    parts = [id_pattern if p == MARK else _quote(p) for p in template.path.split(".")]
+    parts = [id_pattern if p == MARK else _literal(p) for p in template.path.split(".")]
     return "^" + "[.]".join(parts) + "$"
 
 
-def _quote(literal: str) -> str:
-    return "".join(c if c.isalnum() or c == "_" else f"\\x{{{ord(c):x}}}" for c in literal)
+def _literal(text: str) -> str:
+    return "".join(c if c.isalnum() or c in "_ " else f"\\{c}" if c in "^\\[]&" else f"[{c}]" for c in text)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import partial
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pathloom.functions.records import (
@@ -17,8 +17,12 @@ from pathloom.functions.records import (
     PathRecord,
     TypedRecord,
     VariantRecord,
+    higher_order,
     let,
-    lossy_as_string,
+    may_be_rewritten,
+    may_mislead,
+    sql_name,
+    sql_text,
 )
 from pathloom.operators.pathmap import ID_PATTERNS, path_map, root_keys
 from pathloom.plans.templates import RowGroup, Template, TemplateSpec, id_columns, plan_groups
@@ -59,7 +63,7 @@ def flatten_paths(
     and group in text order of their ids.
 
     ``strategy`` never changes the result. ``"auto"`` parses into a schema of the wanted leaves
-    and reads only records that do not fit it, or might lose by it, as variants; ``"variant"``
+    and reads only records that do not fit it, or may lose by it, as variants; ``"variant"``
     does so with all; ``"path_map"`` goes through ``path_map`` and so also finds keys that hold
     dots themselves.
     """
@@ -110,30 +114,42 @@ def _flatten(
         nodes = [f"__node{n}" for n in range(len(groups))]
         return (
             df.select(*keep, path_map(text, depth, keys).alias("__paths"))
-            .select(*keep, *[r.node(F.col("__paths")).alias(n) for r, n in zip(readers, nodes)])
-            .select(*keep, F.inline(build.rows(readers, [F.col(n) for n in nodes])))
+            .select(*keep, *[F.expr(r.node("__paths")).alias(n) for r, n in zip(readers, nodes)])
+            .select(*keep, F.expr(f"inline({build.rows(readers, nodes)})"))
         )
+    variant = VariantRecord(keys)
     typed = None
     if strategy == "auto":
         typed = TypedRecord.try_build([t for g in groups for t in g.templates], keys)
-    variant = VariantRecord(keys)
     if typed is None:
         parsed = df.select(*keep, F.try_parse_json(text).alias("__variant"))
-        return parsed.select(*keep, F.inline(build.record_rows(variant, F.col("__variant"))))
-    doubtful = F.col(f"__typed.{UNEXPECTED}").isNotNull() | lossy_as_string(F.col("__text"))
+        return parsed.select(*keep, F.expr(f"inline({build.record_rows(variant, '__variant')})"))
+    # The parse stays in a projection of its own: it compiles there, and row building does not.
+    misleading = f"__typed.{UNEXPECTED} IS NOT NULL OR {may_mislead('__text')}"
     parsed = (
         df.select(*keep, text.alias("__text"))
         .select(*keep, "__text", typed.parse(F.col("__text")).alias("__typed"))
-        .select(*keep, "__typed", F.when(doubtful, F.try_parse_json("__text")).alias("__variant"))
+        .select(*keep, "__text", "__typed", F.expr(misleading).alias("__misleading"))
     )
-    rows = F.when(
-        F.col("__variant").isNull(), build.record_rows(typed, F.col("__typed"))
-    ).otherwise(build.record_rows(variant, F.col("__variant")))
-    return parsed.select(*keep, F.inline(rows))
+    aliases = dict.fromkeys(t.alias for g in groups for t in g.templates)
+
+    def is_rewritten(row: str) -> str:
+        return " OR ".join(may_be_rewritten(f"{row}.{sql_name(alias)}") for alias in aliases)
+
+    def checked(rows: str) -> str:
+        doubtful = f"__misleading OR {higher_order('exists', rows, is_rewritten)}"
+        return let(
+            f"CASE WHEN {doubtful} THEN try_parse_json(__text) END",
+            lambda v: f"CASE WHEN {v} IS NULL THEN {rows} ELSE {build.record_rows(variant, v)} END",
+            build.row_type,
+        )
+
+    rows = let(build.record_rows(typed, "__typed"), checked, build.row_type)
+    return parsed.select(*keep, F.expr(f"inline({rows})"))
 
 
 class _RowBuilder:
-    """Builds the array of a record's rows."""
+    """Builds the array of a record's rows, as SQL text."""
 
     def __init__(
         self,
@@ -148,118 +164,105 @@ class _RowBuilder:
         self.names = names
         self.columns = columns
         self.any_spine = any_spine
-        self.id_regex = f"^{id_pattern}$"
+        self.id_regex = sql_text(f"^{id_pattern}$")
         self.ordered = ordered
-        fields = ",".join(f"`{c.replace('`', '``')}`:string" for c in columns)
-        self.row_type = f"array<struct<{fields}>>"
+        self.row_type = "array<struct<" + ",".join(f"{sql_name(c)}:string" for c in columns) + ">>"
+        self.no_rows = f"CAST(array() AS {self.row_type})"
 
-    def record_rows(self, reader, parsed: Column) -> Column:
+    def record_rows(self, reader, parsed: str) -> str:
         return self.rows([reader] * len(self.groups), [reader.node(parsed)] * len(self.groups))
 
-    def rows(self, readers: list, nodes: list[Column]) -> Column:
+    def rows(self, readers: list, nodes: list[str]) -> str:
         """The rows of all groups in one array, each group read with its own reader and node."""
         parts = [self._group(*args) for args in zip(readers, nodes, self.groups, self.names)]
-        return parts[0] if len(parts) == 1 else F.flatten(F.array(*parts))
+        return parts[0] if len(parts) == 1 else f"flatten(array({', '.join(parts)}))"
 
-    def _group(self, reader, root: Column, group: RowGroup, names: list[str]) -> Column:
+    def _group(self, reader, root: str, group: RowGroup, names: list[str]) -> str:
         if not group.depth:
-            return F.array(self._row(reader, group, names, [root], []))
+            return f"array({self._row(reader, group, names, [root], [])})"
         spines = [
             (level, chosen)
             for level in range(group.depth, 0, -1)
             for chosen in self._spines(group.at_depth(level))
         ]
         level_rows = partial(self._level_rows, reader, group, names, root)
-        no_rows = F.array().cast(self.row_type)
         # Nearly always the first spine is there, so try it without a search of its own.
-        first, *others = spines
-        first_rows = level_rows(first[0], partial(self._holds, reader, first[1]))
+        (level, chosen), *others = spines
+        rows = level_rows(level, partial(self._holds, reader, chosen))
         if others:
-            def found_or_other(found: Column) -> Column:
-                return F.when(F.size(found) > 0, found).otherwise(
-                    self._other_rows(reader, root, group, others, level_rows, no_rows)
-                )
-
-            rows = let(first_rows, found_or_other)
-        else:
-            rows = first_rows
-        rows = F.coalesce(rows, no_rows)
-        return F.sort_array(rows) if self.ordered else rows
-
-    def _other_rows(self, reader, root, group: RowGroup, spines, level_rows, no_rows: Column) -> Column:
+            other_rows = self._other_rows(reader, root, group, others, level_rows)
+            rows = let(rows, lambda r: f"CASE WHEN size({r}) > 0 THEN {r} ELSE {other_rows} END", self.row_type)
+        rows = f"coalesce({rows}, {self.no_rows})"
+        return f"sort_array({rows})" if self.ordered else rows
+
+    def _other_rows(self, reader, root: str, group: RowGroup, spines, level_rows) -> str:
         """Rows of the first spine with a match; each level's rows are written out only once."""
-        choice = None
+        choice = "CASE"
         for number, (level, chosen) in enumerate(spines):
             found = self._any_instance(reader, group, root, level, partial(self._holds, reader, chosen))
-            choice = F.when(found, number) if choice is None else choice.when(found, number)
+            choice += f" WHEN {found} THEN {number}"
 
-        def rows(choice: Column) -> Column:
-            result = None
+        def rows(choice: str) -> str:
+            result = "CASE"
             for level in sorted({level for level, _ in spines}, reverse=True):
                 held = [(n, chosen) for n, (at, chosen) in enumerate(spines) if at == level]
 
-                def is_wanted(node: Column, held=held) -> Column:
-                    tests = None
-                    for number, chosen in held:
-                        test = self._holds(reader, chosen, node)
-                        tests = F.when(choice == number, test) if tests is None else tests.when(choice == number, test)
-                    return tests
+                def is_wanted(node: str, held=held) -> str:
+                    tests = [f"WHEN {n} THEN {self._holds(reader, chosen, node)}" for n, chosen in held]
+                    return f"CASE {choice} {' '.join(tests)} END"
 
-                here, wanted = choice.between(held[0][0], held[-1][0]), level_rows(level, is_wanted)
-                result = F.when(here, wanted) if result is None else result.when(here, wanted)
-            return result.otherwise(no_rows)
+                wanted = level_rows(level, is_wanted)
+                result += f" WHEN {choice} BETWEEN {held[0][0]} AND {held[-1][0]} THEN {wanted}"
+            return f"{result} ELSE {self.no_rows} END"
 
-        return let(choice, rows)
+        return let(f"{choice} END", rows, self.row_type)
 
     def _spines(self, templates: Sequence[Template]) -> list[list[Template]]:
         if self.any_spine:
             return [list(templates)] if templates else []
         return [[t] for t in templates]
 
-    def _holds(self, reader, chosen: list[Template], node: Column) -> Column:
-        held = reader.present(node, chosen[0])
-        for template in chosen[1:]:
-            held = held | reader.present(node, template)
-        return held
+    def _holds(self, reader, chosen: list[Template], node: str) -> str:
+        return "(" + " OR ".join(reader.present(node, t) for t in chosen) + ")"
 
-    def _is_instance(self, reader, entry: Column) -> Column:
-        return reader.instance_id(entry).rlike(self.id_regex)
+    def _is_instance(self, entry: str) -> str:
+        return f"{entry}.key RLIKE {self.id_regex}"
 
-    def _any_instance(self, reader, group: RowGroup, node: Column, level: int, test, at: int = 0) -> Column:
+    def _any_instance(self, reader, group: RowGroup, node: str, level: int, test, at: int = 0) -> str:
         """Is there an instance at ``level`` that passes the test?"""
 
-        def holds(entry: Column) -> Column:
-            body = reader.body(entry)
+        def holds(entry: str) -> str:
+            body = f"{entry}.value"
             inner = test(body) if at == level - 1 else self._any_instance(reader, group, body, level, test, at + 1)
-            return self._is_instance(reader, entry) & inner
+            return f"{self._is_instance(entry)} AND {inner}"
 
-        return F.exists(reader.instances(node, group.collections[at], at), holds)
+        return higher_order("exists", reader.instances(node, group.collections[at], at), holds)
 
-    def _level_rows(self, reader, group: RowGroup, names: list[str], root: Column, level: int, test) -> Column:
+    def _level_rows(self, reader, group: RowGroup, names: list[str], root: str, level: int, test) -> str:
         """One row per instance at ``level`` that passes the test."""
 
-        def descend(nodes: list[Column], ids: list[Column]) -> Column:
+        def descend(nodes: list[str], ids: list[str]) -> str:
             at = len(ids)
             last = at == level - 1
 
-            def below(entry: Column) -> Column:
-                path = [*nodes, reader.body(entry)], [*ids, reader.instance_id(entry)]
+            def below(entry: str) -> str:
+                path = [*nodes, f"{entry}.value"], [*ids, f"{entry}.key"]
                 return self._row(reader, group, names, *path) if last else descend(*path)
 
-            def is_wanted(entry: Column) -> Column:
-                wanted = self._is_instance(reader, entry)
-                return wanted & test(reader.body(entry)) if last else wanted
+            def is_wanted(entry: str) -> str:
+                wanted = self._is_instance(entry)
+                return f"{wanted} AND {test(f'{entry}.value')}" if last else wanted
 
-            entries = F.filter(reader.instances(nodes[-1], group.collections[at], at), is_wanted)
-            rows = F.transform(entries, below)
-            return rows if last else F.flatten(F.filter(rows, Column.isNotNull))
+            entries = higher_order("filter", reader.instances(nodes[-1], group.collections[at], at), is_wanted)
+            rows = higher_order("transform", entries, below)
+            return rows if last else f"flatten({higher_order('filter', rows, '{} IS NOT NULL'.format)})"
 
         return descend([root], [])
 
-    def _row(self, reader, group, names, nodes: list[Column], ids: list[Column]) -> Column:
+    def _row(self, reader, group: RowGroup, names: list[str], nodes: list[str], ids: list[str]) -> str:
         filled = dict(zip(names, ids))
         for template in group.templates:
             if template.depth < len(nodes):
                 filled[template.alias] = reader.text(nodes[template.depth], template)
-        null = F.lit(None).cast("string")
-        return F.struct(*[filled.get(c, null).alias(c) for c in self.columns])
+        fields = [f"{sql_text(c)}, {filled.get(c, 'CAST(NULL AS STRING)')}" for c in self.columns]
+        return f"named_struct({', '.join(fields)})"

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pathloom.functions.records import OBJECT, is_object, json_path, let, template_regex
+from pathloom.functions.records import OBJECT, json_path, template_regex
 from pathloom.plans.templates import TemplateSpec, normalise
 
 ID_PATTERNS = {"numeric": "[0-9]+", "any": "[^.]+"}
@@ -32,7 +32,11 @@ def path_map(value: Column, depth: int = 16, root: str | Sequence[str] | None =
     items = F.map_entries(top)
     for _ in range(depth - 1):
         items = F.flatten(F.transform(items, _open_object))
-    return let(F.transform(F.filter(items, _has_leaf), _leaf), _first_of_each_key)
+    leaves = F.transform(F.filter(items, _has_leaf), _leaf)
+    # A fold over one element, to use the leaves more than once but make them once.
+    return F.aggregate(
+        F.array(leaves), F.lit(None).cast("map<string,string>"), lambda _, found: _first_of_each_key(found)
+    )
 
 
 def _open_object(item: Column) -> Column:
@@ -46,7 +50,8 @@ def _open_object(item: Column) -> Column:
 
 def _has_leaf(item: Column) -> Column:
     value = item.getField("value")
-    return (F.try_variant_get(value, "$", "string") != "{}") | ~is_object(value)
+    text, fields = F.try_variant_get(value, "$", "string"), F.try_variant_get(value, "$", OBJECT)
+    return text.isNull() | (text != "{}") | fields.isNull()
 
 
 def _leaf(item: Column) -> Column:
