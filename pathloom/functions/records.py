@@ -7,7 +7,7 @@ Each reader answers the same questions about a record, so the row builder in
 ``present(node, template)``       is the leaf's key there (a JSON null counts)?
 ``text(node, template)``          the leaf as text
 
-An object is never a leaf. SQL text instead of column objects keeps the driver's work small:
+An object is no leaf, but for the typed reader. SQL text instead of column objects keeps the driver's work small:
 one call to Spark per expression instead of thousands.
 """
 
@@ -75,23 +75,24 @@ def variant_part(node: str, keys: Iterable[str], type_name: str) -> str:
     return f"try_variant_get({node}, {sql_text(json_path(keys))}, '{type_name}')"
 
 
-def may_mislead(value: str) -> str:
-    """Might parsing this JSON text into strings hide which keys are there?
+def may_be_rewritten(text: str) -> str:
+    """Might this leaf, parsed as a string, have lost its own form?
 
-    A JSON null is present but NULL, and a string that starts with a brace looks like an
-    object. The test reads the text and may say yes too often, never too seldom.
+    Objects and arrays come out as text, and fractions as the nearest double.
     """
-    return "(" + " OR ".join(f"contains({value}, {sql_text(t)})" for t in ("null", '"{', '"\\u007')) + ")"
-
-
-def may_be_rewritten(text: str) -> str:
-    """Might this leaf, parsed as a string, be a fraction or array that lost its own form?"""
     number = sql_text("^-?[0-9]+[.][0-9]+(E-?[0-9]+)?$")
-    return f"(({text} < ':' AND contains({text}, '.') AND {text} RLIKE {number}) OR startswith({text}, '['))"
+    return (
+        f"(({text} < ':' AND contains({text}, '.') AND {text} RLIKE {number})"
+        f" OR startswith({text}, '[') OR startswith({text}, '{{'))"
+    )
 
 
 class TypedRecord:
-    """Reads records parsed with a schema that holds just the wanted leaves, as strings."""
+    """Reads records parsed with a schema that holds just the wanted leaves, as strings.
+
+    It takes an object for a leaf and a JSON null for no leaf, so it is only right where
+    ``may_be_rewritten`` is false for all leaves and the record's text holds no null.
+    """
 
     def __init__(self, templates: Sequence[Template], root: Sequence[str]) -> None:
         self.root = tuple(root)
@@ -144,12 +145,10 @@ class TypedRecord:
         return f"map_entries({self._field(node, keys)})"
 
     def present(self, node: str, template: Template) -> str:
-        leaf = self._field(node, template.leaf)
-        return f"({leaf} IS NOT NULL AND NOT startswith({leaf}, '{{'))"
+        return f"{self._field(node, template.leaf)} IS NOT NULL"
 
     def text(self, node: str, template: Template) -> str:
-        leaf = self._field(node, template.leaf)
-        return f"CASE WHEN NOT startswith({leaf}, '{{') THEN {leaf} END"
+        return self._field(node, template.leaf)
 
 
 class VariantRecord:

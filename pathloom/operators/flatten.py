@@ -20,7 +20,6 @@ from pathloom.functions.records import (
     higher_order,
     let,
     may_be_rewritten,
-    may_mislead,
     sql_name,
     sql_text,
 )
@@ -125,7 +124,7 @@ def _flatten(
         parsed = df.select(*keep, F.try_parse_json(text).alias("__variant"))
         return parsed.select(*keep, F.expr(f"inline({build.record_rows(variant, '__variant')})"))
     # The parse stays in a projection of its own: it compiles there, and row building does not.
-    misleading = f"__typed.{UNEXPECTED} IS NOT NULL OR {may_mislead('__text')}"
+    misleading = f"__typed.{UNEXPECTED} IS NOT NULL OR contains(__text, 'null')"
     parsed = (
         df.select(*keep, text.alias("__text"))
         .select(*keep, "__text", typed.parse(F.col("__text")).alias("__typed"))
