@@ -200,14 +200,20 @@ class PathRecord:
             at += len(collection) + 1
             ids.append(f"split_part({item}.key, '.', {at})")
         number = self.numbers[template.path]
-        pattern = sql_text(template_regex(template, self.id_pattern))
-        matching = higher_order("filter", leaves, lambda e: f"{e}.key RLIKE {pattern}")
+        matching = higher_order("filter", leaves, lambda e: self._is_of(f"{e}.key", template))
         names = f"CAST(array({', '.join(ids)}) AS array<string>)"
         return (
             f"transform({matching}, {item} -> "
             f"named_struct('ids', {names}, 'template', {number}, 'text', {item}.value))"
         )
 
+    def _is_of(self, key: str, template: Template) -> str:
+        """Does a key that some template stands for belong to this one? Mostly its end tells."""
+        end = "." + ".".join(template.leaf)
+        if sum(t.path.endswith(end) for t in self.templates) == 1:
+            return f"endswith({key}, {sql_text(end)})"
+        return f"{key} RLIKE {sql_text(template_regex(template, self.id_pattern))}"
+
     def _split(self, items: str, level: int) -> str:
         own = higher_order("filter", items, lambda i: f"size({i}.ids) = {level}")
         below = higher_order("filter", items, lambda i: f"size({i}.ids) > {level}")

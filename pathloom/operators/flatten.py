@@ -123,28 +123,31 @@ def _flatten(
     if typed is None:
         parsed = df.select(*keep, F.try_parse_json(text).alias("__variant"))
         return parsed.select(*keep, F.expr(f"inline({build.record_rows(variant, '__variant')})"))
-    # The parse stays in a projection of its own: it compiles there, and row building does not.
-    misleading = f"__typed.{UNEXPECTED} IS NOT NULL OR contains(__text, 'null')"
-    parsed = (
-        df.select(*keep, text.alias("__text"))
-        .select(*keep, "__text", typed.parse(F.col("__text")).alias("__typed"))
-        .select(*keep, "__text", "__typed", F.expr(misleading).alias("__misleading"))
+    # The parse gets a projection of its own. Row building takes the parsed record as a whole, or
+    # the optimizer would add another projection just to pick the fields apart.
+    parsed = df.select(*keep, text.alias("__text")).select(
+        *keep, "__text", typed.parse(F.col("__text")).alias("__typed")
     )
     aliases = dict.fromkeys(t.alias for g in groups for t in g.templates)
 
     def is_rewritten(row: str) -> str:
         return " OR ".join(may_be_rewritten(f"{row}.{sql_name(alias)}") for alias in aliases)
 
-    def checked(rows: str) -> str:
-        doubtful = f"__misleading OR {higher_order('exists', rows, is_rewritten)}"
-        return let(
-            f"CASE WHEN {doubtful} THEN try_parse_json(__text) END",
-            lambda v: f"CASE WHEN {v} IS NULL THEN {rows} ELSE {build.record_rows(variant, v)} END",
-            build.row_type,
-        )
-
-    rows = let(build.record_rows(typed, "__typed"), checked, build.row_type)
-    return parsed.select(*keep, F.expr(f"inline({rows})"))
+    def record_rows(record: str) -> str:
+        def checked(rows: str) -> str:
+            doubtful = (
+                f"{record}.{UNEXPECTED} IS NOT NULL OR contains(__text, 'null')"
+                f" OR {higher_order('exists', rows, is_rewritten)}"
+            )
+            return let(
+                f"CASE WHEN {doubtful} THEN try_parse_json(__text) END",
+                lambda v: f"CASE WHEN {v} IS NULL THEN {rows} ELSE {build.record_rows(variant, v)} END",
+                build.row_type,
+            )
+
+        return let(build.record_rows(typed, record), checked, build.row_type)
+
+    return parsed.select(*keep, F.expr(f"inline({let('__typed', record_rows, build.row_type)})"))
 
 
 class _RowBuilder:
