@@ -22,11 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``customer, order_block, line_block, name, segment, order_count, orders`` where ``orders``
     is an array of ``(key, Status, Priority, lines)`` and ``lines`` one of ``(key, Qty, Flag)``."""
-    lines = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey", "l_linenumber")
-        .agg(F.sum("l_quantity").cast("bigint").alias("qty"), F.max("l_returnflag").alias("flag"))
-    )
     orders = table(spark, sf_dir, "orders")
     line = F.struct(
         F.col("l_linenumber").cast("string").alias("key"),
@@ -37,16 +32,21 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("key"),
         F.col("o_orderstatus").alias("Status"),
         F.col("o_orderpriority").alias("Priority"),
-        "lines",
+        F.coalesce("lines", F.array()).alias("lines"),
+    )
+    lines = (
+        table(spark, sf_dir, "lineitem")
+        .groupBy("l_orderkey", "l_linenumber")
+        .agg(F.sum("l_quantity").cast("bigint").alias("qty"), F.max("l_returnflag").alias("flag"))
+        .repartition("l_orderkey")  # one shuffle for both the blocks of lines and the join
+        .groupBy("l_orderkey", F.expr(f"l_linenumber div {LINE_BLOCK}").alias("line_block"))
+        .agg(F.collect_list(line).alias("lines"))
     )
     blocks = (
         orders.join(lines, F.col("l_orderkey") == F.col("o_orderkey"), "left")
         .withColumn("order_block", F.expr(f"o_orderkey div {ORDER_BLOCK}"))
-        .withColumn("line_block", F.expr(f"coalesce(l_linenumber div {LINE_BLOCK}, 0)"))
+        .withColumn("line_block", F.coalesce("line_block", F.lit(0)))
         .withColumnRenamed("o_custkey", "customer")
-        .repartition(*MESSAGE_KEYS)  # both groupings below need no further shuffle
-        .groupBy(*MESSAGE_KEYS, "o_orderkey", "o_orderstatus", "o_orderpriority")
-        .agg(F.collect_list(F.when(F.col("l_linenumber").isNotNull(), line)).alias("lines"))
         .groupBy(*MESSAGE_KEYS)
         .agg(F.collect_list(order).alias("orders"))
     )
