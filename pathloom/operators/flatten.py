@@ -23,7 +23,7 @@ from pathloom.functions.records import (
     sql_name,
     sql_text,
 )
-from pathloom.operators.pathmap import ID_PATTERNS, path_map, root_keys
+from pathloom.operators.pathmap import ID_PATTERNS, flat_keys, path_map, root_keys
 from pathloom.plans.templates import RowGroup, Template, TemplateSpec, id_columns, plan_groups
 
 SPINES = ("driver", "any")
@@ -107,13 +107,16 @@ def _flatten(
     build = _RowBuilder(groups, names, columns, spine == "any", ID_PATTERNS[ids], ordered)
     text, keys = F.col(value).cast("string"), root_keys(root)
     if layout == "flat" or strategy == "path_map":
-        # One level more than the templates have, so that an object at a template's end is opened.
-        depth = 2 if layout == "flat" else 1 + max(t.parts for g in groups for t in g.templates)
+        if layout == "flat":
+            paths = flat_keys(df, text, keep, keys, "__paths")
+        else:
+            # One level more than the templates have, to open an object at a template's end.
+            depth = 1 + max(t.parts for g in groups for t in g.templates)
+            paths = df.select(*keep, path_map(text, depth, keys).alias("__paths"))
         readers = [PathRecord(g.templates, ID_PATTERNS[ids]) for g in groups]
         nodes = [f"__node{n}" for n in range(len(groups))]
         return (
-            df.select(*keep, path_map(text, depth, keys).alias("__paths"))
-            .select(*keep, *[F.expr(r.node("__paths")).alias(n) for r, n in zip(readers, nodes)])
+            paths.select(*keep, *[F.expr(r.node("__paths")).alias(n) for r, n in zip(readers, nodes)])
             .select(*keep, F.expr(f"inline({build.rows(readers, nodes)})"))
         )
     variant = VariantRecord(keys)

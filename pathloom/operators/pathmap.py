@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pathloom.functions.records import OBJECT, json_path, template_regex
+from pathloom.functions.records import OBJECT, higher_order, json_path, may_be_rewritten, template_regex
 from pathloom.plans.templates import TemplateSpec, normalise
 
 ID_PATTERNS = {"numeric": "[0-9]+", "any": "[^.]+"}
@@ -39,6 +41,25 @@ def path_map(value: Column, depth: int = 16, root: str | Sequence[str] | None =
     )
 
 
+def flat_keys(df: DataFrame, value: Column, keep: Sequence[str], root: Sequence[str], name: str) -> DataFrame:
+    """``keep`` and, as column ``name``, the path map of records whose keys are dotted paths.
+
+    Most records are plain maps of texts and numbers, which a string map reads whole and fast;
+    ``path_map`` reads those with a leaf that a string would rewrite.
+    """
+    schema: T.DataType = T.MapType(T.StringType(), T.StringType())
+    for key in reversed(root):
+        schema = T.StructType([T.StructField(key, schema)])
+    texts = reduce(Column.getField, root, F.from_json(F.col("__text"), schema))
+    rewritten = higher_order("exists", "map_values(__texts)", may_be_rewritten)
+    plain = F.expr(f"__texts IS NOT NULL AND NOT coalesce({rewritten}, false)")
+    return (
+        df.select(*keep, value.alias("__text"))
+        .select(*keep, "__text", texts.alias("__texts"))
+        .select(*keep, F.when(plain, F.col("__texts")).otherwise(path_map(F.col("__text"), 2, root)).alias(name))
+    )
+
+
 def _open_object(item: Column) -> Column:
     def child(entry: Column) -> Column:
         key = F.concat(item.getField("key"), F.lit("."), entry.getField("key"))

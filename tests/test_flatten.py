@@ -257,6 +257,20 @@ def test_flat_keys(spark):
     )
 
 
+def test_flat_keys_with_odd_values(spark):
+    values = ['"t"', "1", "1.50", "123456789.5", "null", '{"x": 1}', "{}", '"{\\"x\\": 1}"', "[1, 2.5]", "true", '"2.50"']
+    texts = ['{"R.s.A.%d.v": %s, "R.s.n": 7}' % (n, v) for n, v in enumerate(values)]
+    together = "{%s}" % ", ".join('"R.s.A.%d.v": %s' % item for item in enumerate(values))
+    wanted = ["t", "1", "1.5", "123456789.5", None, '{"x": 1}', "[1,2.5]", "true", "2.50"]
+    ids = ["0", "1", "2", "3", "4", "7", "8", "9", "10"]
+    for records in (texts, [together], ["[1]", "{bad", None, "", together]):
+        df = flatten_paths(frame(spark, *records), ["R.s.A.{i}.v"], layout="flat")
+        assert rows_of(df) == expected(["A", "v"], *zip(ids, wanted))
+    rooted = flatten_paths(frame(spark, '{"d": {"p.q": %s}, "e": 1}' % together, '{"d": 5}'), ["R.s.A.{i}.v"],
+                           root=["d", "p.q"], layout="flat")
+    assert rows_of(rooted) == expected(["A", "v"], *zip(ids, wanted))
+
+
 def test_path_map(spark):
     text = '{"a": {"b": 1, "c": {"d": null, "e": [1, 2], "f": {}}}, "g": "{}", "a.b": 2}'
     df = frame(spark, text, "{bad", None, "[1]", "{}")
