@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pathloom.llm import ngram_join, packing, quality_crf, quality_rules, url_filters
+from pathloom.llm import ngram_join, packing, pii, quality_crf, quality_rules, url_filters
 from pathloom.llm.shared import table
 
 #: (host, path, verdict): the longest that fits decides.
@@ -40,6 +40,11 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.train(docs))
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -49,5 +54,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_crf": op3_quality_crf,
     "op6_url_filters": op6_url_filters,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op9_pii": op9_pii,
     "op10_ngram_join": op10_ngram_join,
 }
