@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pathloom.llm import ngram_join, packing, pii, quality_crf, quality_rules, url_filters
+from pathloom.llm import kneser_ney, ngram_join, packing, pii, quality_crf, quality_rules, url_filters
 from pathloom.llm.shared import table
 
 #: (host, path, verdict): the longest that fits decides.
@@ -31,6 +31,11 @@ def op3_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_crf.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return kneser_ney.score(docs, kneser_ney.learn(docs))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = url_filters.canonical(table(spark, sf_dir, "pages").select("page_id", "url"))
     return url_filters.filter_urls(pages, URL_RULES, URL_GLOBS).select("page_id", "host", "path", "rule", "verdict")
@@ -52,6 +57,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_quality_crf": op3_quality_crf,
+    "op5_kneser_ney": op5_kneser_ney,
     "op6_url_filters": op6_url_filters,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op9_pii": op9_pii,
