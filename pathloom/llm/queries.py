@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pathloom.llm import kneser_ney, ngram_join, packing, pii, quality_crf, quality_rules, url_filters
+from pathloom.llm import cover_tree, kneser_ney, ngram_join, packing, pii, quality_crf, quality_rules, url_filters
 from pathloom.llm.shared import table
 
 #: (host, path, verdict): the longest that fits decides.
@@ -45,6 +46,11 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op8_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = cover_tree.quantised(table(spark, sf_dir, "embeddings"))
+    return cover_tree.top_inner_products(vectors, vectors.where(F.col("id") % cover_tree.EVERY == 0))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pii.find(docs, pii.train(docs))
@@ -60,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_kneser_ney": op5_kneser_ney,
     "op6_url_filters": op6_url_filters,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_cover_tree": op8_cover_tree,
     "op9_pii": op9_pii,
     "op10_ngram_join": op10_ngram_join,
 }
