@@ -26,13 +26,10 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-class Encoder:
-    def __init__(self, path: str | None = None):
-        with open(path or default_vocabulary(), "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.sizes = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
-        self.sizes[list(ranks.values())] = [len(t) for t in ranks]
+class UnitCache:
+    """Ids of distinct units (segments of a buffer), found once and kept by the units' hashes."""
+
+    def __init__(self):
         self._forget()
 
     def _forget(self) -> None:
@@ -51,6 +48,49 @@ class Encoder:
         self.flat[used : used + len(ids)] = ids
         self.ends = np.concatenate([self.ends, used + np.cumsum(np.concatenate(lengths))])
 
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """The row of each unit, or -1."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1, dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.rows[at], -1)
+
+    def _learn(self, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, buf: np.ndarray) -> None:
+        raise NotImplementedError
+
+    def _keep(self, hashes: np.ndarray, ids: list[np.ndarray], lengths: list[np.ndarray]) -> None:
+        rows = len(self.ends) - 1 + np.arange(len(hashes))
+        self._enter(ids, lengths)
+        known = np.concatenate([self.hashes, hashes])
+        order = np.argsort(known, kind="stable")
+        self.hashes, self.rows = known[order], np.concatenate([self.rows, rows])[order]
+
+    def ids(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all units one after the other, and how many each has."""
+        if len(self.hashes) > UNITS_KEPT:
+            self._forget()
+        if not len(starts):
+            return np.empty(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
+        hashes, at, back = np.unique(tx.segment_hashes(buf, starts, ends), return_index=True, return_inverse=True)
+        row = self._find(hashes)
+        new = np.flatnonzero(row < 0)
+        if len(new):
+            new = new[np.argsort(at[new])]
+            self._learn(hashes[new], starts[at[new]], ends[at[new]], buf)
+            row = self._find(hashes)
+        begin, size = self.ends[row], (self.ends[1:] - self.ends[:-1])[row][back]
+        return self.flat[tx.spans(begin[back], size)], size
+
+
+class Encoder(UnitCache):
+    def __init__(self, path: str | None = None):
+        with open(path or default_vocabulary(), "rb") as lines:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        self.encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.sizes = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
+        self.sizes[list(ranks.values())] = [len(t) for t in ranks]
+        super().__init__()
+
     def _learn(self, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, buf: np.ndarray) -> None:
         """Encodes units not met before. Those that begin with white space and end without are encoded as one text."""
         chained = ~tx.IS_WORD[buf[starts]] & tx.IS_WORD[buf[ends - 1]]
@@ -66,44 +106,19 @@ class Encoder:
             ids = self.encoding.encode_ordinary(buf[starts[k] : ends[k]].tobytes().decode("utf-8", "replace"))
             all_ids.append(np.array(ids, dtype=np.uint32))
             lengths.append(np.array([len(ids)]))
-        rows = len(self.ends) - 1 + np.arange(len(hashes))
-        self._enter(all_ids, lengths)
-        known = np.concatenate([self.hashes, hashes[chained], hashes[~chained]])
-        order = np.argsort(known, kind="stable")
-        self.hashes, self.rows = known[order], np.concatenate([self.rows, rows])[order]
-
-    def _find(self, hashes: np.ndarray) -> np.ndarray:
-        """The row of each unit, or -1."""
-        if not len(self.hashes):
-            return np.full(len(hashes), -1, dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, self.rows[at], -1)
+        self._keep(np.concatenate([hashes[chained], hashes[~chained]]), all_ids, lengths)
 
     def encode(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and how many each text has."""
         if _OTHER_SPACE.search(buf.tobytes().decode("utf-8", "replace")):
             return self._whole(buf, offsets)
-        if len(self.hashes) > UNITS_KEPT:
-            self._forget()
         inside = tx.IS_WORD[buf]
         first = ~inside
         first[1:] &= inside[:-1]
         edges = offsets[:-1][offsets[:-1] < len(buf)]
         first[edges] = True
         starts = np.flatnonzero(first)
-        ends = np.append(starts[1:], len(buf))
-        if not len(starts):
-            return np.empty(0, dtype=np.uint32), np.zeros(len(offsets) - 1, dtype=np.int64)
-        hashes, at, back = np.unique(tx.segment_hashes(buf, starts, ends), return_index=True, return_inverse=True)
-        row = self._find(hashes)
-        new = np.flatnonzero(row < 0)
-        if len(new):
-            new = new[np.argsort(at[new])]
-            self._learn(hashes[new], starts[at[new]], ends[at[new]], buf)
-            row = self._find(hashes)
-        begin, size = self.ends[row], (self.ends[1:] - self.ends[:-1])[row]
-        size = size[back]
-        ids = self.flat[tx.spans(begin[back], size)]
+        ids, size = self.ids(buf, starts, np.append(starts[1:], len(buf)))
         return ids, tx.per_doc(size, np.searchsorted(starts, offsets))
 
     def _whole(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -81,4 +81,37 @@ SELECT page_id, host, path,
 FROM split
 """
 
-ORACLE: dict[str, str] = {"op1_quality_rules": QUALITY_RULES, "op6_url_filters": URL_FILTERS}
+
+
+def _side(name: str) -> str:
+    return f"""{name} AS (
+  SELECT pair_id, string_agg(shown, '' ORDER BY place) AS body,
+         list([begins + length(role) + 5, begins + length(shown) - 8] ORDER BY place) FILTER (role = 'assistant') AS mask
+  FROM (SELECT s.*, (coalesce(sum(length(shown)) OVER (PARTITION BY pair_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::INTEGER AS begins
+        FROM shown_{name} s JOIN cut USING (pair_id) WHERE place > prefix_turns)
+  GROUP BY pair_id)"""
+
+
+def _shown(name: str, source: str) -> str:
+    return f"""placed_{name} AS (
+  SELECT *, row_number() OVER (PARTITION BY pair_id ORDER BY turn, role NULLS FIRST, text NULLS FIRST) AS place FROM (SELECT DISTINCT * FROM ({source}))),
+shown_{name} AS (SELECT pair_id, place, role, text, '<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || '<|end|>' || chr(10) AS shown FROM placed_{name})"""
+
+
+PREFERENCES = f"""
+WITH rows AS (
+  SELECT floor(conv_id / 2)::BIGINT AS pair_id, conv_id % 2 = 0 AS chosen, turn, role, text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+first AS (SELECT pair_id, role, min(text) AS text FROM rows WHERE chosen AND turn = 0 GROUP BY ALL),
+{_shown("c", "SELECT pair_id, turn, role, text FROM rows WHERE chosen")},
+{_shown("r", "SELECT s.pair_id, s.turn, s.role, CASE WHEN f.pair_id IS NULL THEN s.text ELSE f.text END AS text FROM rows s LEFT JOIN first f ON s.pair_id = f.pair_id AND s.turn = 0 AND s.role IS NOT DISTINCT FROM f.role WHERE NOT s.chosen")},
+cut AS (
+  SELECT pair_id, coalesce(min(place) FILTER (c.place IS NULL OR r.place IS NULL OR c.role IS DISTINCT FROM r.role OR c.text IS DISTINCT FROM r.text) - 1, max(place))::INTEGER AS prefix_turns
+  FROM shown_c c FULL JOIN shown_r r USING (pair_id, place) GROUP BY pair_id),
+prompt AS (SELECT pair_id, string_agg(shown, '' ORDER BY place) AS body FROM shown_c JOIN cut USING (pair_id) WHERE place <= prefix_turns GROUP BY pair_id),
+{_side("c")}, {_side("r")}
+SELECT pair_id, prefix_turns, coalesce(prompt.body, '') AS prompt, coalesce(c.body, '') AS chosen, coalesce(c.mask, []) AS chosen_mask,
+       coalesce(r.body, '') AS rejected, coalesce(r.mask, []) AS rejected_mask
+FROM cut LEFT JOIN prompt USING (pair_id) LEFT JOIN c USING (pair_id) LEFT JOIN r USING (pair_id)
+"""
+
+ORACLE: dict[str, str] = {"op1_quality_rules": QUALITY_RULES, "op2_preferences": PREFERENCES, "op6_url_filters": URL_FILTERS}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathloom.llm import cover_tree, kneser_ney, ngram_join, packing, pii, quality_crf, quality_rules, url_filters
+from pathloom.llm import cover_tree, kneser_ney, ngram_join, packing, pii, preferences, quality_crf, quality_rules, unigram, url_filters
 from pathloom.llm.shared import table
 
 #: (host, path, verdict): the longest that fits decides.
@@ -28,10 +28,19 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op2_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return preferences.format_pairs(*preferences.neighbours(turns))
+
+
 def op3_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_crf.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram.encode_documents(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return kneser_ney.score(docs, kneser_ney.learn(docs))
@@ -62,7 +71,9 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_preferences": op2_preferences,
     "op3_quality_crf": op3_quality_crf,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_kneser_ney": op5_kneser_ney,
     "op6_url_filters": op6_url_filters,
     "op7_best_fit_packing": op7_best_fit_packing,
