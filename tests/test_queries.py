@@ -9,8 +9,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
-
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 
 
 def plain(value):
@@ -48,6 +48,8 @@ def test_query_matches_sql(spark, sf_dir, name):
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.items() <= entry_points.queries().items()
+    assert ORACLE.items() <= entry_points.oracle_sql().items()
 
 
 def test_entry(spark):
