@@ -24,6 +24,8 @@ from pathloom.plans.templates import MARK, Template
 
 OBJECT = "map<string,variant>"
 UNEXPECTED = "__unexpected"
+#: JSON as its standard has it: what a variant does not take, from_json must not take either.
+STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 _ITEMS = "array<struct<ids:array<string>,template:int,text:string>>"
 _NODE = f"struct<own:{_ITEMS},below:{_ITEMS}>"
 _ENTRIES = f"array<struct<key:string,value:{_NODE}>>"
@@ -82,7 +84,8 @@ def may_be_rewritten(text: str) -> str:
     """
     number = sql_text("^-?[0-9]+[.][0-9]+(E-?[0-9]+)?$")
     return (
-        f"(({text} < ':' AND contains({text}, '.') AND {text} RLIKE {number})"
+        f"(({text} < ':' AND (contains({text}, '.') AND {text} RLIKE {number} OR length({text}) > 38))"
+        f" OR {text} IN ('\"Infinity\"', '\"-Infinity\"', '\"NaN\"')"
         f" OR startswith({text}, '[') OR startswith({text}, '{{'))"
     )
 
@@ -91,11 +94,12 @@ class TypedRecord:
     """Reads records parsed with a schema that holds just the wanted leaves, as strings.
 
     It takes an object for a leaf and a JSON null for no leaf, so it is only right where
-    ``may_be_rewritten`` is false for all leaves and the record's text holds no null.
+    ``may_be_rewritten`` is false for all leaves and ``may_hold_null`` for the record's text.
     """
 
     def __init__(self, templates: Sequence[Template], root: Sequence[str]) -> None:
         self.root = tuple(root)
+        self.leaves = [t.leaf[-1] for t in templates]
         tree: dict = {}
         for template in templates:
             keys = [*self.root]
@@ -132,8 +136,14 @@ class TypedRecord:
             raise ValueError("keys that differ in case only")
         return T.StructType([T.StructField(key, self._type(child)) for key, child in node.items()])
 
+    def may_hold_null(self, text: str) -> str:
+        """Might the text hold a JSON null at a wanted leaf? An escaped key may be any key."""
+        names = "|".join(_literal(name) for name in dict.fromkeys(self.leaves))
+        null = sql_text(f'"({names})"[ \\t\\r\\n]*:[ \\t\\r\\n]*null')
+        return f"(contains({text}, 'null') AND ({text} RLIKE {null} OR contains({text}, {sql_text(chr(92))})))"
+
     def parse(self, value: Column) -> Column:
-        return F.from_json(value, self.schema, {"columnNameOfCorruptRecord": UNEXPECTED})
+        return F.from_json(value, self.schema, {**STRICT_JSON, "columnNameOfCorruptRecord": UNEXPECTED})
 
     def node(self, parsed: str) -> str:
         return self._field(parsed, self.root)

@@ -23,7 +23,7 @@ from pathloom.functions.records import (
     sql_name,
     sql_text,
 )
-from pathloom.operators.pathmap import ID_PATTERNS, flat_keys, path_map, root_keys
+from pathloom.operators.pathmap import ID_PATTERNS, flat_keys, path_map, root_keys, string_path_map
 from pathloom.plans.templates import RowGroup, Template, TemplateSpec, id_columns, plan_groups
 
 SPINES = ("driver", "any")
@@ -110,9 +110,7 @@ def _flatten(
         if layout == "flat":
             paths = flat_keys(df, text, keep, keys, "__paths")
         else:
-            # One level more than the templates have, to open an object at a template's end.
-            depth = 1 + max(t.parts for g in groups for t in g.templates)
-            paths = df.select(*keep, path_map(text, depth, keys).alias("__paths"))
+            paths = df.select(*keep, path_map(text, keys).alias("__paths"))
         readers = [PathRecord(g.templates, ID_PATTERNS[ids]) for g in groups]
         nodes = [f"__node{n}" for n in range(len(groups))]
         return (
@@ -120,37 +118,48 @@ def _flatten(
             .select(*keep, F.expr(f"inline({build.rows(readers, nodes)})"))
         )
     variant = VariantRecord(keys)
+    strings = [PathRecord(g.templates, ID_PATTERNS[ids]) for g in groups]
+
+    def finished(parsed: DataFrame, otherwise: str) -> DataFrame:
+        """Rows from ``__variant``; from ``__strings`` where no variant could hold a record; else ``otherwise``."""
+        nodes = [f"__node{n}" for n in range(len(groups))]
+        split = [F.expr(f"CASE WHEN __strings IS NOT NULL THEN {r.node('__strings')} END").alias(n) for r, n in zip(strings, nodes)]
+        rows = (
+            f"CASE WHEN __strings IS NOT NULL THEN {build.rows(strings, nodes)}"
+            f" WHEN __variant IS NOT NULL THEN {build.record_rows(variant, '__variant')} ELSE {otherwise} END"
+        )
+        return parsed.select("*", *split).select(*keep, F.expr(f"inline({rows})"))
+
     typed = None
     if strategy == "auto":
         typed = TypedRecord.try_build([t for g in groups for t in g.templates], keys)
     if typed is None:
-        parsed = df.select(*keep, F.try_parse_json(text).alias("__variant"))
-        return parsed.select(*keep, F.expr(f"inline({build.record_rows(variant, '__variant')})"))
+        parsed = df.select(*keep, text.alias("__text")).select(*keep, "__text", F.try_parse_json("__text").alias("__variant"))
+        unread = F.when(F.col("__variant").isNull(), string_path_map(F.col("__text"), keys))
+        return finished(parsed.select("*", unread.alias("__strings")), build.record_rows(variant, "__variant"))
     # The parse gets a projection of its own. Row building takes the parsed record as a whole, or
     # the optimizer would add another projection just to pick the fields apart.
     parsed = df.select(*keep, text.alias("__text")).select(
         *keep, "__text", typed.parse(F.col("__text")).alias("__typed")
     )
     aliases = dict.fromkeys(t.alias for g in groups for t in g.templates)
+    id_names_used = list(dict.fromkeys(c for group in names for c in group))
 
     def is_rewritten(row: str) -> str:
         return " OR ".join(may_be_rewritten(f"{row}.{sql_name(alias)}") for alias in aliases)
 
-    def record_rows(record: str) -> str:
-        def checked(rows: str) -> str:
-            doubtful = (
-                f"{record}.{UNEXPECTED} IS NOT NULL OR contains(__text, 'null')"
-                f" OR {higher_order('exists', rows, is_rewritten)}"
-            )
-            return let(
-                f"CASE WHEN {doubtful} THEN try_parse_json(__text) END",
-                lambda v: f"CASE WHEN {v} IS NULL THEN {rows} ELSE {build.record_rows(variant, v)} END",
-                build.row_type,
-            )
-
-        return let(build.record_rows(typed, record), checked, build.row_type)
-
-    return parsed.select(*keep, F.expr(f"inline({let('__typed', record_rows, build.row_type)})"))
+    def place(row: str) -> str:
+        return f"concat_ws('.', {', '.join(f'{row}.{sql_name(c)}' for c in id_names_used)})"
+
+    doubts = [f"__typed.{UNEXPECTED} IS NOT NULL", typed.may_hold_null("__text"), higher_order("exists", "__rows", is_rewritten)]
+    if id_names_used:  # an instance that is there twice
+        placed = higher_order("filter", higher_order("transform", "__rows", place), lambda p: f"{p} <> ''")
+        doubts.append(let(placed, lambda p: f"size(array_distinct({p})) < size({p})", "boolean"))
+    parsed = parsed.select("*", F.expr(build.record_rows(typed, "__typed")).alias("__rows"))
+    parsed = parsed.select(*keep, "__text", "__rows", F.expr(" OR ".join(doubts)).alias("__doubtful"))
+    parsed = parsed.select("*", F.when(F.col("__doubtful"), F.try_parse_json("__text")).alias("__variant"))
+    unread = F.when(F.col("__doubtful") & F.col("__variant").isNull(), string_path_map(F.col("__text"), keys))
+    return finished(parsed.select("*", unread.alias("__strings")), "__rows")
 
 
 class _RowBuilder:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pathloom.functions.records import OBJECT, higher_order, json_path, may_be_rewritten, template_regex
+from pathloom.functions.records import OBJECT, STRICT_JSON, higher_order, json_path, may_be_rewritten, template_regex
 from pathloom.plans.templates import TemplateSpec, normalise
 
 ID_PATTERNS = {"numeric": "[0-9]+", "any": "[^.]+"}
@@ -22,23 +22,50 @@ def root_keys(root: str | Sequence[str] | None) -> tuple[str, ...]:
     return tuple(root.split(".")) if isinstance(root, str) else tuple(root)
 
 
-def path_map(value: Column, depth: int = 16, root: str | Sequence[str] | None = None) -> Column:
+def path_map(value: Column, root: str | Sequence[str] | None = None) -> Column:
     """``map<string,string>`` of every leaf of a JSON text, keyed by its dotted path.
 
-    Objects nest up to ``depth`` levels below ``root``; anything deeper stays one JSON text.
-    Strings are taken as they are, numbers and booleans as text, JSON null as NULL and arrays
-    as JSON text. An empty object has no leaf. Text that is no JSON object gives NULL. Of two
-    equal paths (a key ``A.B`` beside ``{"A": {"B": …}}``) the first stays.
+    Objects may nest to any depth. Strings are taken as they are, numbers and booleans as text, JSON
+    null as NULL and arrays as JSON text. An empty object has no leaf. Text that is no JSON object gives
+    NULL. Of two equal paths (a key ``A.B`` beside ``{"A": {"B": …}}``) that under the smaller key stays,
+    ``A``; of a key repeated in one object the last value counts.
     """
-    top = F.try_variant_get(F.try_parse_json(value), json_path(root_keys(root)), OBJECT)
-    items = F.map_entries(top)
-    for _ in range(depth - 1):
-        items = F.flatten(F.transform(items, _open_object))
+    keys = root_keys(root)
+    top = F.try_variant_get(F.try_parse_json(value), json_path(keys), OBJECT)
+    items = _fold(value, F.map_entries(top), _open_object)
     leaves = F.transform(F.filter(items, _has_leaf), _leaf)
-    # A fold over one element, to use the leaves more than once but make them once.
-    return F.aggregate(
-        F.array(leaves), F.lit(None).cast("map<string,string>"), lambda _, found: _first_of_each_key(found)
-    )
+    return F.coalesce(_once(leaves, _first_of_each_key), string_path_map(value, keys))
+
+
+def string_path_map(value: Column, keys: Sequence[str] = ()) -> Column:
+    """The path map of JSON that a variant cannot hold (repeated keys, very large), read as nested string maps.
+
+    A string that itself is the text of an object is taken for that object here.
+    """
+    text = value
+    for key in keys:
+        text = F.try_element_at(F.filter(_string_items(text), lambda e, key=key: e.getField("key") == key), F.lit(-1)).getField("value")
+    items = _fold(text, _once_each(_string_items(text)), _open_string)
+    return F.when(F.try_parse_json(value).isNull(), _once(items, _first_of_each_key))
+
+
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)``, a map, with ``value`` made once: a fold over one element."""
+    return F.aggregate(F.array(value), F.lit(None).cast("map<string,string>"), lambda _, found: body(found))
+
+
+def _fold(text: Column, items: Column, opened: Callable[[Column], Column]) -> Column:
+    """Opens objects as many times as braces nest in the text, outside of strings."""
+    braces = F.regexp_replace(F.regexp_replace(text, r'"(?:[^"\\\\]++|\\\\.)*+"', ""), "[^{}]", "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(acc: Column, brace: Column) -> Column:
+        now = acc.getField("now") + F.when(brace == "{", 1).when(brace == "}", -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(acc.getField("most"), now).alias("most"))
+
+    depth = F.aggregate(F.split(braces, ""), start, step, lambda acc: acc.getField("most"))
+    levels = F.when(depth > 1, F.sequence(F.lit(2), depth)).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(levels, items, lambda found, _: F.flatten(F.transform(found, opened)))
 
 
 def flat_keys(df: DataFrame, value: Column, keep: Sequence[str], root: Sequence[str], name: str) -> DataFrame:
@@ -50,13 +77,14 @@ def flat_keys(df: DataFrame, value: Column, keep: Sequence[str], root: Sequence[
     schema: T.DataType = T.MapType(T.StringType(), T.StringType())
     for key in reversed(root):
         schema = T.StructType([T.StructField(key, schema)])
-    texts = reduce(Column.getField, root, F.from_json(F.col("__text"), schema))
+    texts = reduce(Column.getField, root, F.from_json(F.col("__text"), schema, STRICT_JSON))
     rewritten = higher_order("exists", "map_values(__texts)", may_be_rewritten)
-    plain = F.expr(f"__texts IS NOT NULL AND NOT coalesce({rewritten}, false)")
+    repeated = "size(array_distinct(map_keys(__texts))) < size(__texts)"
+    plain = F.expr(f"__texts IS NOT NULL AND NOT coalesce({rewritten} OR {repeated}, false)")
     return (
         df.select(*keep, value.alias("__text"))
         .select(*keep, "__text", texts.alias("__texts"))
-        .select(*keep, F.when(plain, F.col("__texts")).otherwise(path_map(F.col("__text"), 2, root)).alias(name))
+        .select(*keep, F.when(plain, F.col("__texts")).otherwise(path_map(F.col("__text"), root)).alias(name))
     )
 
 
@@ -83,8 +111,33 @@ def _leaf(item: Column) -> Column:
 def _first_of_each_key(leaves: Column) -> Column:
     keys = leaves.getField("key")
     unique = F.size(F.array_distinct(keys)) == F.size(keys)
-    firsts = F.filter(leaves, lambda e, n: F.array_position(keys, e.getField("key")) == n + 1)
-    return F.map_from_entries(F.when(unique, leaves).otherwise(firsts))
+    placed = F.transform(leaves, lambda e, n: F.struct(e.getField("key").alias("key"), n.alias("n"), e.getField("value").alias("value")))
+
+    def firsts(ordered: Column) -> Column:
+        new = lambda e, n: (n == 0) | (F.get(ordered, n - 1).getField("key") != e.getField("key"))
+        return F.map_from_entries(F.transform(F.filter(ordered, new), lambda e: F.struct(e.getField("key"), e.getField("value"))))
+
+    return F.when(unique, F.map_from_entries(leaves)).otherwise(_once(F.sort_array(placed), firsts))
+
+
+def _string_items(text: Column) -> Column:
+    return F.map_entries(F.from_json(text, T.MapType(T.StringType(), T.StringType()), STRICT_JSON))
+
+
+def _once_each(items: Column) -> Column:
+    """Entries of one object in the order of keys, as in a variant; of a repeated key the last."""
+    keys = items.getField("key")
+    unique = F.size(F.array_distinct(keys)) == F.size(keys)
+    return F.when(unique, F.sort_array(items)).otherwise(F.map_entries(_once(F.reverse(items), _first_of_each_key)))
+
+
+def _open_string(item: Column) -> Column:
+    def child(entry: Column) -> Column:
+        key = F.concat(item.getField("key"), F.lit("."), entry.getField("key"))
+        return F.struct(key.alias("key"), entry.getField("value").alias("value"))
+
+    inner = _once_each(_string_items(F.when(F.startswith(item.getField("value"), F.lit("{")), item.getField("value"))))
+    return F.coalesce(F.transform(inner, child), F.array(item))
 
 
 def prune_paths(

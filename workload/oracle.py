@@ -1,6 +1,7 @@
 """The queries' results in plain SQL over the same tables."""
 
-from workload.payloads import LINE_BLOCK, ORDER_BLOCK
+# Keys of a message's blocks, stated here on their own so that a change of the messages shows.
+ORDER_BLOCK, LINE_BLOCK = 4096, 8
 
 _PROPS = """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
@@ -137,6 +138,17 @@ ORACLE: dict[str, str] = {
                                ELSE '123456789.5' END AS "Kind", 'true' AS "Open"
         FROM events WHERE event_type <> 'purchase'
         UNION ALL SELECT event_id, '2', event_type, NULL FROM events""",
+    "flatten_odd_records": """
+        WITH shapes(kind, item, leaf) AS (VALUES (0, '1', 'key'), (0, '2', 'b'), (1, '1', 'a'), (2, '1', NULL), (4, '1', 'b'),
+          (5, '1', '12345678901234567890123456789012345678'), (6, '1', 'c'))
+        SELECT event_id, strategy, item AS "Entry", CASE leaf WHEN 'key' THEN event_type ELSE leaf END AS "X"
+        FROM events JOIN shapes ON event_id % 8 = kind, (VALUES ('auto'), ('variant'), ('path_map')) AS s(strategy)""",
+    "flatten_half_flat": """
+        SELECT event_id, 'e1' AS "Entry", event_type AS "X" FROM events WHERE event_id % 3 < 2""",
+    "path_map_deep": """
+        SELECT event_id, repeat('a.', 39) || 'a' AS path, event_type AS leaf FROM events
+        UNION ALL SELECT event_id, 'p.q', 'second' FROM events
+        UNION ALL SELECT event_id, 'r', '2' FROM events WHERE event_id % 2 = 1""",
     "stream_extract": _PROPS,
     "stream_csv": _PARTS,
     "stream_flatten": _LINES,

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ORDER_BLOCK = 65536
+ORDER_BLOCK = 4096
 LINE_BLOCK = 8
 MESSAGE_KEYS = ("customer", "order_block", "line_block")
 
@@ -36,10 +36,11 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     lines = (
         table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey", "l_linenumber")
+        .withColumn("line_block", F.expr(f"l_linenumber div {LINE_BLOCK}"))
+        .repartition("l_orderkey", "line_block")  # one shuffle for both sums; a hot order's blocks go to many tasks
+        .groupBy("l_orderkey", "line_block", "l_linenumber")
         .agg(F.sum("l_quantity").cast("bigint").alias("qty"), F.max("l_returnflag").alias("flag"))
-        .repartition("l_orderkey")  # one shuffle for both the blocks of lines and the join
-        .groupBy("l_orderkey", F.expr(f"l_linenumber div {LINE_BLOCK}").alias("line_block"))
+        .groupBy("l_orderkey", "line_block")
         .agg(F.collect_list(line).alias("lines"))
     )
     blocks = (
@@ -56,8 +57,10 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(F.col("c_custkey").alias("customer"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
         .join(counts, "customer", "left")
     )
-    # Last, so that a hot customer's messages can be split among tasks by the adaptive skew join.
-    return profiles.join(blocks, "customer", "left").select(
+    # An inner join, as only that lets the adaptive skew join split a hot customer's messages among tasks.
+    messages = profiles.where("order_count IS NOT NULL").join(blocks, "customer")
+    silent = profiles.where("order_count IS NULL")
+    return messages.unionByName(silent, allowMissingColumns=True).select(
         "customer",
         F.coalesce("order_block", F.lit(0)).alias("order_block"),
         F.coalesce("line_block", F.lit(0)).alias("line_block"),
@@ -167,7 +170,7 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def damaged_event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event properties, cut short for errors, missing for logins, an array for purchases."""
+    """Event properties, cut short for errors, missing for clicks, an array for purchases."""
     props = F.col("props")
     value = (
         F.when(F.col("event_type") == "error", F.expr("left(props, length(props) - 1)"))

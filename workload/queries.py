@@ -65,7 +65,7 @@ def extract_props(spark: SparkSession, sf_dir: str) -> DataFrame:
 def extract_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schema and output columns both come from files, as a deployed job has them."""
     sample, mapping = shared_folder(spark, "sample"), shared_folder(spark, "mapping")
-    payloads.table(spark, sf_dir, "events").select("props").limit(1).write.text(sample)
+    spark.createDataFrame([('{"k": 1}',)], "value string").coalesce(1).write.text(sample)
     spark.createDataFrame(PROPS_MAPPING, "name string, path string, type string").coalesce(1).write.csv(mapping)
     return extract_json(
         payloads.event_messages(spark, sf_dir),
@@ -172,12 +172,12 @@ def read_csv_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def path_map_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = payloads.order_messages(spark, sf_dir)
-    return messages.select(*KEYS, F.explode(path_map(F.col("value"), depth=8)).alias("path", "leaf"))
+    return messages.select(*KEYS, F.explode(path_map(F.col("value"))).alias("path", "leaf"))
 
 
 def flat_keys_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat keys, narrowed to the ones two templates ask for."""
-    wanted = prune_paths(path_map(F.col("value"), depth=1), [ORDER_FIELDS[1], LINE_FIELDS[1]])
+    wanted = prune_paths(path_map(F.col("value")), [ORDER_FIELDS[1], LINE_FIELDS[1]])
     messages = payloads.flat_order_messages(spark, sf_dir)
     return messages.select(*KEYS, F.explode(wanted).alias("path", "leaf"))
 
@@ -246,6 +246,48 @@ def flatten_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_paths(messages, DOCUMENT_FIELDS, keep=["doc_id"], id_names=id_names)
 
 
+def flatten_odd_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records a fast parse would bend or a variant refuse: repeated keys, a scalar among instances, a null or
+    object as leaf, a 38-digit number, single quotes. Every strategy reads them alike."""
+    shapes = [
+        '{"Device":{"Entry":{"1":{"X":"%s"},"2":{"X":"b"}}},"Z":1,"Z":2}',
+        '{"Device":{"Entry":{"Total":3,"1":{"X":"a"}}},"Z":1,"Z":2}',
+        '{"Device":{"Entry":{"1":{"X":null}}},"Z":1,"Z":2}',
+        '{"Device":{"Entry":{"1":{"X":{"q":1}}}},"Z":1,"Z":2}',
+        '{"Device":{"Entry":{"1":{"X":"a"},"1":{"X":"b"}}}}',
+        '{"Device":{"Entry":{"1":{"X":12345678901234567890123456789012345678}}}}',
+        '{"Device":{"Entry":{"1":{"X":"a","X":"c"}}}}',
+        "{'Device':{'Entry':{'1':{'X':'a'}}}}",
+    ]
+    events = payloads.table(spark, sf_dir, "events")
+    texts = F.element_at(F.array(*[F.lit(s) for s in shapes]), (F.pmod("event_id", F.lit(8)) + 1).cast("int"))
+    messages = events.select("event_id", F.replace(texts, F.lit("%s"), F.col("event_type")).alias("value"))
+    found = [
+        flatten_paths(messages, ["Device.Entry.{i}.X"], keep=["event_id"], strategy=s).withColumn("strategy", F.lit(s))
+        for s in ("auto", "variant", "path_map")
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+def flatten_half_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that are dotted in part, or not at all; an object at a leaf's place gives no row."""
+    shapes = ['{"Device.Entry":{"e1":{"X":"%s"}}}', '{"Device":{"Entry":{"e1":{"X":"%s"}}}}', '{"Device.Entry.e1":{"X":{"z":"%s"}}}']
+    events = payloads.table(spark, sf_dir, "events")
+    texts = F.element_at(F.array(*[F.lit(s) for s in shapes]), (F.pmod("event_id", F.lit(3)) + 1).cast("int"))
+    messages = events.select("event_id", F.replace(texts, F.lit("%s"), F.col("event_type")).alias("value"))
+    return flatten_paths(messages, ["Device.Entry.{i}.X"], keep=["event_id"], layout="flat", ids="any")
+
+
+def path_map_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forty levels, a path that is there twice, and a key repeated in one object."""
+    deep = F.concat(F.repeat(F.lit('{"a":'), 40), F.lit('"'), "event_type", F.lit('"'), F.repeat(F.lit("}"), 40))
+    twice = F.lit(',"p.q":"first","p":{"q":"second"}')
+    again = F.when(F.col("event_id") % 2 == 1, ',"r":1,"r":2').otherwise("")
+    text = F.concat(F.regexp_replace(deep, "[}]$", ""), twice, again, F.lit("}"))
+    messages = payloads.table(spark, sf_dir, "events").select("event_id", text.alias("value"))
+    return messages.select("event_id", F.explode(path_map(F.col("value"))).alias("path", "leaf"))
+
+
 def flatten_mixed_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records with scalars beside instances, JSON nulls, fractions, booleans, arrays, empty
     objects and text that looks like an object, depending on the event."""
@@ -338,6 +380,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         flatten_union,
         flatten_documents,
         flatten_mixed_shapes,
+        flatten_odd_records,
+        flatten_half_flat,
+        path_map_deep,
         stream_extract,
         stream_csv,
         stream_flatten,
