@@ -103,7 +103,8 @@ def project(df: DataFrame, mapping: MappingRows, keep: Sequence[str] = ()) -> Da
 
     Every path is read from ``df`` as it came, so an output name may equal a source field.
     """
-    return df.select(*keep, *[_output(df.schema, c) for c in check_mapping(mapping)])
+    exact = _case_sensitive(df)
+    return df.select(*keep, *[_output(df.schema, c, exact) for c in check_mapping(mapping)])
 
 
 def extract_json(
@@ -118,9 +119,10 @@ def extract_json(
     Only the part of ``schema`` that ``mapping`` asks for is parsed.
     """
     mapping = check_mapping(mapping)
-    wanted = prune_schema(schema, [split_path(c.path) for c in mapping])
+    exact = _case_sensitive(df)
+    wanted = prune_schema(schema, [resolved_path(schema, split_path(c.path), exact) for c in mapping])
     parsed = df.select(*keep, F.from_json(payload_text(value), wanted).alias("__data"))
-    return parsed.select(*keep, *[_output(wanted, c, F.col("__data")) for c in mapping])
+    return parsed.select(*keep, *[_output(wanted, c, exact, F.col("__data")) for c in mapping])
 
 
 def extract_csv(
@@ -131,9 +133,10 @@ def extract_csv(
     keep: Sequence[str] = (),
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """As ``extract_json`` for CSV payloads. Rows already split into typed columns (the CSV
-    file source) have no ``value`` column and are projected as they are."""
-    if value in df.columns and value not in schema.names:
+    """As ``extract_json`` for CSV payloads. Rows already split into typed columns (the CSV file source
+    gives such) hold all of ``schema`` in its types and are projected as they are."""
+    typed = all(f.name in df.columns and df.schema[f.name].dataType == f.dataType for f in schema)
+    if not typed:
         df = parse_csv(df, schema, value, keep, options)
     return project(df, mapping, keep)
 
@@ -175,8 +178,30 @@ def path_type(schema: T.DataType, path: Sequence[str]) -> T.DataType:
     return node
 
 
-def _output(schema: T.StructType, column: OutputColumn, parent: Column | None = None) -> Column:
-    keys = split_path(column.path)
+def _case_sensitive(df: DataFrame) -> bool:
+    return df.sparkSession.conf.get("spark.sql.caseSensitive").lower() == "true"
+
+
+def resolved_path(schema: T.DataType, path: Sequence[str], exact: bool) -> list[str]:
+    """A path with the fields' own spelling, found as the session finds columns; keys of maps stay as they are."""
+    node, out = schema, []
+    for key in path:
+        while isinstance(node, T.ArrayType):
+            node = node.elementType
+        if isinstance(node, T.StructType):
+            same = [n for n in node.names if n == key or not exact and n.lower() == key.lower()]
+            if len(same) > 1 and key not in same:
+                raise ValueError(f"{'.'.join(path)!r} may be any of {same}")
+            key = key if key in same else same[0] if same else key
+            node = node[key].dataType if same else None
+        else:
+            node = node.valueType if isinstance(node, T.MapType) else None
+        out.append(key)
+    return out
+
+
+def _output(schema: T.StructType, column: OutputColumn, exact: bool, parent: Column | None = None) -> Column:
+    keys = resolved_path(schema, split_path(column.path), exact)
     source = path_type(schema, keys)
     if parent is None:
         parent, keys = F.col(f"`{keys[0].replace('`', '``')}`"), keys[1:]

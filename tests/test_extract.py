@@ -7,19 +7,19 @@ from pathloom import extract_csv, extract_json, infer_schema, load_mapping
 from pathloom.functions.types import build_schema
 from pathloom.operators.extract import parse_json, path_type, project, prune_schema, split_path
 
-MENU = {
-    "menu": {
-        "id": "file",
-        "value": "File",
-        "popup": {"menuitem": [{"value": "New", "onclick": "a()"}, {"value": "Open", "onclick": "b()"}]},
+ORDER = {
+    "order": {
+        "id": "o1",
+        "value": "Shop",
+        "basket": {"goods": [{"value": "Tea", "note": "hot"}, {"value": "Salt", "note": "fine"}]},
     }
 }
 
 
 @pytest.fixture(scope="module")
-def menu_schema(spark):
+def order_schema(spark):
     return T.StructType.fromDDL(
-        "menu struct<id string, value string, popup struct<menuitem array<struct<onclick string, value string>>>>"
+        "order struct<id string, value string, basket struct<goods array<struct<note string, value string>>>>"
     )
 
 
@@ -29,12 +29,12 @@ def messages(spark, *texts):
 
 def test_sample_schema_and_mapping_files(spark, tmp_path):
     sample, mapping = tmp_path / "sample.json", tmp_path / "mapping.csv"
-    sample.write_text(json.dumps(MENU, indent=2))
-    mapping.write_text('id,menu.id,int\nvalue,menu.value,string\nprice,menu.value,"decimal(10,2)"\n')
+    sample.write_text(json.dumps(ORDER, indent=2))
+    mapping.write_text('id,order.id,int\nvalue,order.value,string\nprice,order.value,"decimal(10,2)"\n')
     schema = infer_schema(spark, str(sample))
-    rows = extract_json(messages(spark, json.dumps(MENU)), schema, load_mapping(spark, str(mapping)))
+    rows = extract_json(messages(spark, json.dumps(ORDER)), schema, load_mapping(spark, str(mapping)))
     assert rows.columns == ["id", "value", "price"]
-    assert [tuple(r) for r in rows.collect()] == [(None, "File", None)]
+    assert [tuple(r) for r in rows.collect()] == [(None, "Shop", None)]
 
 
 def test_inferred_types(spark, tmp_path):
@@ -86,9 +86,9 @@ def test_bad_mappings(spark):
             extract_json(df, schema, mapping)
 
 
-def test_path_through_array(spark, menu_schema):
-    rows = extract_json(messages(spark, json.dumps(MENU)), menu_schema, [("v", "menu.popup.menuitem.value", "string")])
-    assert rows.first().v == "[New, Open]"
+def test_path_through_array(spark, order_schema):
+    rows = extract_json(messages(spark, json.dumps(ORDER)), order_schema, [("v", "order.basket.goods.value", "string")])
+    assert rows.first().v == "[Tea, Salt]"
 
 
 def test_dotted_keys(spark):
@@ -101,14 +101,14 @@ def test_dotted_keys(spark):
             split_path(bad)
 
 
-def test_only_wanted_fields_are_parsed(spark, menu_schema):
-    pruned = prune_schema(menu_schema, [["menu", "popup", "menuitem", "value"], ["menu", "id"]])
+def test_only_wanted_fields_are_parsed(spark, order_schema):
+    pruned = prune_schema(order_schema, [["order", "basket", "goods", "value"], ["order", "id"]])
     assert pruned.simpleString() == (
-        "struct<menu:struct<id:string,popup:struct<menuitem:array<struct<value:string>>>>>"
+        "struct<order:struct<id:string,basket:struct<goods:array<struct<value:string>>>>>"
     )
-    assert path_type(menu_schema, ["menu", "popup", "menuitem", "value"]) == T.ArrayType(T.StringType())
-    plan = extract_json(messages(spark, "{}"), menu_schema, [("id", "menu.id", "string")])
-    assert "onclick" not in plan._jdf.queryExecution().executedPlan().toString()
+    assert path_type(order_schema, ["order", "basket", "goods", "value"]) == T.ArrayType(T.StringType())
+    plan = extract_json(messages(spark, "{}"), order_schema, [("id", "order.id", "string")])
+    assert "note" not in plan._jdf.queryExecution().executedPlan().toString()
 
 
 def test_star_expand(spark):
@@ -127,3 +127,23 @@ def test_csv_payload(spark):
     ]
     typed = spark.createDataFrame([(1, "x", None)], schema)
     assert tuple(extract_csv(typed, schema, mapping).first()) == (None, "1", "x")
+
+
+def test_paths_follow_the_sessions_case_rule(spark, order_schema):
+    df = messages(spark, json.dumps(ORDER))
+    rows = extract_json(df, order_schema, [("id", "ORDER.Id", "string"), ("v", "Order.basket.GOODS.value", "string")])
+    assert rows.collect()[0]["id"] == "o1"
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        with pytest.raises(ValueError, match="no field"):
+            extract_json(df, order_schema, [("id", "ORDER.Id", "string")])
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+
+
+def test_csv_payload_with_a_field_called_value(spark):
+    schema = T.StructType.fromDDL("value double, id int")
+    rows = extract_csv(spark.createDataFrame([("7,2",)], "value string"), schema, [("value", "value", "double"), ("id", "id", "int")])
+    assert [tuple(r) for r in rows.collect()] == [(7.0, 2)]
+    typed = spark.createDataFrame([(7.0, 2)], schema)
+    assert [tuple(r) for r in extract_csv(typed, schema, [("id", "id", "int")]).collect()] == [(2,)]

@@ -12,9 +12,9 @@ from pathloom import flatten_groups, flatten_paths, path_map, prune_paths
 from pathloom.operators.flatten import STRATEGIES
 from pathloom.plans.templates import plan_groups
 
-POOL = "Device.DHCPv4.Server.Pool.{i}."
-CLIENT = POOL + "Client.{i}."
-DHCP = [CLIENT + "Active", CLIENT + "Chaddr", CLIENT + "IPv4Address.{i}.IPAddress", CLIENT + "IPv4Address.{i}.Lease"]
+PEN = "Device.Farm.Yard.Pen.{i}."
+COW = PEN + "Cow.{i}."
+FARM = [COW + "Alive", COW + "Colour", COW + "Insect.{i}.Kind", COW + "Insect.{i}.Legs"]
 
 
 def frame(spark, *records):
@@ -31,32 +31,32 @@ def expected(columns, *rows):
 
 
 def clients(**pools):
-    return {"Device": {"DHCPv4": {"Server": {"Pool": pools}}}}
+    return {"Device": {"Farm": {"Yard": {"Pen": pools}}}}
 
 
 def client(active, *addresses):
-    found = {"Active": active, "Chaddr": f"mac-{active}"}
+    found = {"Alive": active, "Colour": f"mac-{active}"}
     if addresses:
-        found["IPv4Address"] = {i: {"IPAddress": a} for i, a in addresses}
+        found["Insect"] = {i: {"Kind": a} for i, a in addresses}
     return found
 
 
 TREE = clients(
     **{
-        "1": {"Client": {"1": client("a", ("1", "10.0.0.1"), ("2", "10.0.0.2")), "10": client("b")}},
-        "2": {"Client": {"2": client("c", ("1", "10.0.0.3"))}},
+        "1": {"Cow": {"1": client("a", ("1", "10.0.0.1"), ("2", "10.0.0.2")), "10": client("b")}},
+        "2": {"Cow": {"2": client("c", ("1", "10.0.0.3"))}},
     }
 )
-DHCP_COLUMNS = ["n", "Pool", "Client", "IPv4Address", "Active", "Chaddr", "IPAddress", "Lease"]
+FARM_COLUMNS = ["n", "Pen", "Cow", "Insect", "Alive", "Colour", "Kind", "Legs"]
 
 every_strategy = pytest.mark.parametrize("strategy", STRATEGIES)
 
 
 @every_strategy
 def test_ancestors(spark, strategy):
-    df = flatten_paths(frame(spark, TREE), DHCP, keep=["n"], strategy=strategy)
+    df = flatten_paths(frame(spark, TREE), FARM, keep=["n"], strategy=strategy)
     assert rows_of(df) == expected(
-        DHCP_COLUMNS,
+        FARM_COLUMNS,
         (0, "1", "1", "1", "a", "mac-a", "10.0.0.1", None),
         (0, "1", "1", "2", "a", "mac-a", "10.0.0.2", None),
         (0, "2", "2", "1", "c", "mac-c", "10.0.0.3", None),
@@ -65,9 +65,9 @@ def test_ancestors(spark, strategy):
 
 @every_strategy
 def test_siblings(spark, strategy):
-    df = flatten_paths(frame(spark, TREE), DHCP, keep=["n"], mode="siblings", strategy=strategy)
+    df = flatten_paths(frame(spark, TREE), FARM, keep=["n"], mode="siblings", strategy=strategy)
     assert rows_of(df) == expected(
-        DHCP_COLUMNS,
+        FARM_COLUMNS,
         (0, "1", "1", "1", None, None, "10.0.0.1", None),
         (0, "1", "1", "2", None, None, "10.0.0.2", None),
         (0, "2", "2", "1", None, None, "10.0.0.3", None),
@@ -79,10 +79,10 @@ def test_siblings(spark, strategy):
 
 @every_strategy
 def test_falls_back_record_by_record(spark, strategy):
-    plain = clients(**{"1": {"Client": {"1": client("a"), "2": client("b")}}})
-    df = flatten_paths(frame(spark, TREE, plain, {}), DHCP, keep=["n"], strategy=strategy)
+    plain = clients(**{"1": {"Cow": {"1": client("a"), "2": client("b")}}})
+    df = flatten_paths(frame(spark, TREE, plain, {}), FARM, keep=["n"], strategy=strategy)
     assert rows_of(df.filter("n > 0")) == expected(
-        DHCP_COLUMNS,
+        FARM_COLUMNS,
         (1, "1", "1", None, "a", "mac-a", None, None),
         (1, "1", "2", None, "b", "mac-b", None, None),
     )
@@ -299,7 +299,7 @@ def test_bad_arguments(spark):
 
 
 def test_no_shuffle_and_one_parse(spark):
-    df = flatten_paths(frame(spark, TREE), [*DHCP, "Device.Info.Class"], keep=["n"])
+    df = flatten_paths(frame(spark, TREE), [*FARM, "Device.Info.Class"], keep=["n"])
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Union" not in plan
     # One typed parse; the string maps of the fall-back stand behind a CASE for records no variant can hold.

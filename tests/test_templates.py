@@ -2,22 +2,22 @@ import pytest
 
 from pathloom.plans.templates import id_columns, normalise, parse_template, plan_groups
 
-CLIENT = "Device.DHCPv4.Server.Pool.{i}.Client.{i}."
-STATION = "Device.WiFi.AccessPoint.{i}.AssociatedDevice.{i}."
+COW = "Device.Farm.Yard.Pen.{i}.Cow.{i}."
+STATION = "Device.Garden.Bed.{i}.Plant.{i}."
 TEMPLATES = [
-    "Device.NAT.InterfaceSetting.{i}.Interface",
-    "Device.Services.VoiceService.{i}.CallControl.IncomingMap.{i}.ExtensionRef",
-    "Device.DHCPv4.Server.Pool.{i}",
-    CLIENT + "Active",
-    CLIENT + "Chaddr",
-    CLIENT + "IPv4Address.{i}",
-    CLIENT + "IPv4Address.{i}.IPAddress",
-    CLIENT + "IPv4Address.{i}.LeaseTimeRemaining",
-    "Device.DeviceInfo.ProcessStatus.CPUUsage",
-    "Device.DeviceInfo.ProductClass",
-    "Device.WiFi.AccessPointNumberOfEntries",
-    (STATION + "Active", "StationActive"),
-    STATION + "Noise",
+    "Device.Fence.Gate.{i}.Side",
+    "Device.Sheds.Shed.{i}.Shelf.Tool.{i}.Grip",
+    "Device.Farm.Yard.Pen.{i}",
+    COW + "Alive",
+    COW + "Colour",
+    COW + "Insect.{i}",
+    COW + "Insect.{i}.Kind",
+    COW + "Insect.{i}.LegsTimeRemaining",
+    "Device.PlotInfo.Soil.Damp",
+    "Device.PlotInfo.Sort",
+    "Device.Garden.AcreCount",
+    (STATION + "Alive", "PlantAlive"),
+    STATION + "Height",
 ]
 
 
@@ -26,10 +26,10 @@ def aliases(groups):
 
 
 def test_parse():
-    template = parse_template(CLIENT + "Status.Active")
-    assert template.collections == (("Device", "DHCPv4", "Server", "Pool"), ("Client",))
-    assert template.leaf == ("Status", "Active")
-    assert (template.alias, template.depth, template.parts, template.root) == ("Active", 2, 9, "Device.DHCPv4")
+    template = parse_template(COW + "Status.Alive")
+    assert template.collections == (("Device", "Farm", "Yard", "Pen"), ("Cow",))
+    assert template.leaf == ("Status", "Alive")
+    assert (template.alias, template.depth, template.parts, template.root) == ("Alive", 2, 9, "Device.Farm")
 
 
 @pytest.mark.parametrize("path", ["{i}.A", "A.{i}.{i}.B", "A..B", ""])
@@ -49,29 +49,29 @@ def test_normalise_sorts_and_drops_instance_templates():
 def test_ancestors_groups():
     groups = plan_groups(TEMPLATES, "ancestors")
     assert aliases(groups) == [
-        ["AccessPointNumberOfEntries", "Noise", "StationActive"],
-        ["Active", "Chaddr", "IPAddress", "LeaseTimeRemaining"],
-        ["CPUUsage", "ProductClass"],
-        ["ExtensionRef"],
-        ["Interface"],
+        ["AcreCount", "Height", "PlantAlive"],
+        ["Alive", "Colour", "Kind", "LegsTimeRemaining"],
+        ["Damp", "Sort"],
+        ["Grip"],
+        ["Side"],
     ]
     assert id_columns(groups) == [
-        ["Pool", "Client", "IPv4Address"],
+        ["Pen", "Cow", "Insect"],
+        ["Gate"],
+        ["Bed", "Plant"],
         [],
-        ["InterfaceSetting"],
-        ["VoiceService", "IncomingMap"],
-        ["AccessPoint", "AssociatedDevice"],
+        ["Shed", "Tool"],
     ]
 
 
 def test_siblings_groups():
     assert aliases(plan_groups(TEMPLATES, "siblings")) == [
-        ["AccessPointNumberOfEntries", "Noise", "StationActive"],
-        ["Active", "Chaddr"],
-        ["CPUUsage", "ProductClass"],
-        ["ExtensionRef"],
-        ["IPAddress", "LeaseTimeRemaining"],
-        ["Interface"],
+        ["AcreCount", "Height", "PlantAlive"],
+        ["Alive", "Colour"],
+        ["Damp", "Sort"],
+        ["Grip"],
+        ["Kind", "LegsTimeRemaining"],
+        ["Side"],
     ]
 
 
@@ -82,7 +82,7 @@ def test_sibling_collections_never_share_rows():
 
 def test_first_template_of_a_group_is_the_deepest():
     group = plan_groups(TEMPLATES, "ancestors")[0]
-    assert [t.alias for t in group.templates] == ["IPAddress", "LeaseTimeRemaining", "Active", "Chaddr"]
+    assert [t.alias for t in group.templates] == ["Kind", "LegsTimeRemaining", "Alive", "Colour"]
 
 
 def test_bad_mode():
