@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from pathloom.functions.types import build_schema
-from pathloom.operators.extract import extract_csv, extract_json, infer_schema, load_mapping
+from pathloom.operators.extract import extract_csv, extract_json, infer_schema, load_mapping, project
 from pathloom.operators.flatten import flatten_paths
 from pathloom.sources.readers import read_stream
 from pathloom.streaming.sinks import write_stream
@@ -25,6 +25,7 @@ class Endpoint:
     options: Mapping[str, str] = field(default_factory=dict)
     path: str | None = None
 
+    # Fixed values, here and in JobSpec: the keys of a declared job.
     @classmethod
     def from_dict(cls, spec: Mapping[str, Any]) -> Endpoint:
         meta = spec.get("metaData") or {}
@@ -75,6 +76,8 @@ def read_source(spark: SparkSession, spec: JobSpec) -> DataFrame:
 
 
 def _json(spark: SparkSession, df: DataFrame, spec: JobSpec) -> DataFrame:
+    if "value" not in df.columns:  # rows that the source has typed already
+        return project(df, load_mapping(spark, spec.properties.get("outputSchemaPath")))
     schema = infer_schema(spark, spec.properties.get("path"))
     return extract_json(df, schema, load_mapping(spark, spec.properties.get("outputSchemaPath")))
 

@@ -163,3 +163,16 @@ def test_batch_readers(spark, tmp_path):
     read_csv(spark, str(tmp_path / "d.csv")).write.parquet(str(tmp_path / "d.parquet"))
     assert read_parquet(spark, str(tmp_path / "d.parquet")).count() == 1
     assert "kafka" in readers.STREAM_SOURCES
+
+
+def test_json_job_over_rows_the_source_has_typed(spark, tmp_path):
+    mapping = tmp_path / "columns.csv"
+    mapping.write_text("id,order.id,int\n")
+    job = {
+        "appName": "typed",
+        "dataProcessor": {"type": "json", "properties": {"outputSchemaPath": str(mapping)}},
+        "inputProperties": {"writer": "json"},
+        "writerProperties": {"writer": "console"},
+    }
+    df = spark.createDataFrame([(("7",),)], "order struct<id string>")
+    assert [tuple(r) for r in process(spark, df, JobSpec.from_dict(job)).collect()] == [(7,)]
