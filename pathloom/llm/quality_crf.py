@@ -185,9 +185,13 @@ def held_out(doc_id: Column) -> Column:
 def train(sample: pd.DataFrame) -> LineField:
     field = LineField()
     if len(sample):
-        for _, _, buf, offsets in tx.groups(pa.array(sample["text"].tolist(), pa.string()), 1 << 40):
-            x, _, first, after = line_features(buf, offsets)
-            field.fit(x, first, after, sample["quality"].to_numpy().astype(np.int64))
+        found, ends = [], [np.zeros(1, dtype=np.int64)]
+        for _, _, buf, offsets in tx.groups(pa.array(sample["text"].tolist(), pa.string())):  # a group's bytes at a time
+            x, _, _, after = line_features(buf, offsets)
+            found.append(x)
+            ends.append(ends[-1][-1] + after)
+        bounds = np.concatenate(ends)
+        field.fit(np.concatenate(found), bounds[:-1], bounds[1:], sample["quality"].to_numpy().astype(np.int64))
     return field
 
 
