@@ -325,10 +325,12 @@ def training_windows(texts: list[str], n: int = TRAIN_WINDOWS, seed: int = 5) ->
 
 
 def train(docs: DataFrame, limit: int = MAX_TRAIN) -> Tagger | None:
-    """A tagger trained on at most `limit` texts that hold a digit or "@", those of the smallest hashes."""
-    text = F.substring("text", 1, MAX_CHARS)
-    some = docs.where(F.col("text").rlike("[0-9@]")).select(F.xxhash64("text").alias("h"), text.alias("t"))
-    texts = [r["t"] for r in some.orderBy("h", "t").limit(limit).collect()]
+    """A tagger trained on at most `limit` different texts that hold a digit or "@", those of the smallest hashes."""
+    some = docs.where(F.col("text").rlike("[0-9@]")).select(F.xxhash64("text").alias("h"), F.substring("text", 1, MAX_CHARS).alias("t"))
+    hashes = [r["h"] for r in some.select("h").distinct().orderBy("h").limit(limit).collect()]
+    last = hashes[-1] if hashes else 0
+    found = some.where(F.col("h") <= last).groupBy("h").agg(F.min("t").alias("t"))  # at most `limit` groups
+    texts = [r["t"] for r in found.orderBy("h").collect()]
     x, y = training_windows(texts)
     if not len(x):
         return None
