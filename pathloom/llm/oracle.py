@@ -86,7 +86,7 @@ FROM split
 def _side(name: str) -> str:
     return f"""{name} AS (
   SELECT pair_id, string_agg(shown, '' ORDER BY place) AS body,
-         list([begins + length(role) + 5, begins + length(shown) - 8] ORDER BY place) FILTER (role = 'assistant') AS mask
+         string_agg((begins + length(role) + 5) || ':' || (begins + length(shown) - 8), ',' ORDER BY place) FILTER (role = 'assistant') AS mask
   FROM (SELECT s.*, (coalesce(sum(length(shown)) OVER (PARTITION BY pair_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::INTEGER AS begins
         FROM shown_{name} s JOIN cut USING (pair_id) WHERE place > prefix_turns)
   GROUP BY pair_id)"""
@@ -109,8 +109,8 @@ cut AS (
   FROM shown_c c FULL JOIN shown_r r USING (pair_id, place) GROUP BY pair_id),
 prompt AS (SELECT pair_id, string_agg(shown, '' ORDER BY place) AS body FROM shown_c JOIN cut USING (pair_id) WHERE place <= prefix_turns GROUP BY pair_id),
 {_side("c")}, {_side("r")}
-SELECT pair_id, prefix_turns, coalesce(prompt.body, '') AS prompt, coalesce(c.body, '') AS chosen, coalesce(c.mask, []) AS chosen_mask,
-       coalesce(r.body, '') AS rejected, coalesce(r.mask, []) AS rejected_mask
+SELECT pair_id, prefix_turns, coalesce(prompt.body, '') AS prompt, coalesce(c.body, '') AS chosen, coalesce(c.mask, '') AS chosen_mask,
+       coalesce(r.body, '') AS rejected, coalesce(r.mask, '') AS rejected_mask
 FROM cut LEFT JOIN prompt USING (pair_id) LEFT JOIN c USING (pair_id) LEFT JOIN r USING (pair_id)
 """
 
