@@ -14,6 +14,7 @@ import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pathloom import extract_json, flatten_paths
 from workload import payloads, queries
@@ -57,9 +58,11 @@ def operator_queries(spark: SparkSession, folder: str) -> dict[str, tuple[int, C
     documents = stored(spark, payloads.document_messages(spark, SF_DIR), f"{folder}/documents")
     events = stored(spark, payloads.event_messages(spark, SF_DIR), f"{folder}/events")
     keys, sales = queries.KEYS, queries.SALES_FIELDS
+    nulls = stored(spark, orders.withColumn("value", F.regexp_replace("value", "[}]$", ',"Z":null}')), f"{folder}/nulls")
     tests = {
         "messages_extract": (events, lambda: extract_json(events, queries.PROPS_SCHEMA, queries.PROPS_MAPPING)),
         "messages_lines": (orders, lambda: flatten_paths(orders, sales, keep=keys)),
+        "messages_lines_nulls": (nulls, lambda: flatten_paths(nulls, sales, keep=keys)),
         "messages_lines_variant": (orders, lambda: flatten_paths(orders, sales, keep=keys, strategy="variant")),
         "messages_siblings": (orders, lambda: flatten_paths(orders, sales, keep=keys, mode="siblings")),
         "messages_flat_keys": (flat, lambda: flatten_paths(flat, sales, keep=keys, layout="flat")),
