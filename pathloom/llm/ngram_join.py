@@ -416,7 +416,8 @@ def classes(docs: DataFrame) -> DataFrame:
     rows = written(_gather(_count(dealt, keys).repartition(n, "part")), "shingles")
 
     able = rows.where(F.col("shingles").isNotNull())
-    same = able.groupBy("n", "a", "b").agg(F.min("row").alias("rep"))
+    # Written, so that in the join nothing but plain shuffles meet and a large group of copies can be split.
+    same = written(able.groupBy("n", "a", "b").agg(F.min("row").alias("rep")), "equal-sets")
     member = written(able.select("row", "doc_id", "n", "a", "b").join(same, ["n", "a", "b"]).select("row", "doc_id", "rep"), "copies")
     sets = written(able.select("row", "n", "shingles", "df").join(member.where("row = rep").select("row"), "row"), "sets")
 
