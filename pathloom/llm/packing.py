@@ -14,6 +14,7 @@ an empty result; further columns are ignored.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -31,8 +32,10 @@ CAPACITY = 1024
 END_ID = 2
 #: Nodes the search opens before it settles for the best solution so far.
 NODES = 1_000
-#: Fillings tried at a node, those of least waste first, and the most pieces beside the largest.
-BREADTH, DEPTH = 6, 5
+#: Fillings tried at a node, those of least waste first, and the sets of pieces looked at to find them.
+BREADTH, SETS = 6, 400
+#: Sets of more pieces are not compared with each other, which takes time that grows steeply with them.
+COMPARED = 5
 
 
 def cut(n: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -90,47 +93,54 @@ class _Search:
         self.least = -(-self.total // capacity)
 
     def fillings(self, counts: np.ndarray, largest: int) -> list[tuple[int, ...]]:
-        """Undominated sets of pieces that fit beside the largest, those of least waste first."""
+        """Undominated sets of pieces that fit beside the largest, those of least waste first; none leaves room for a further piece."""
         room = self.capacity - largest
         free = counts.copy()
         free[largest] -= 1
-        sizes = [int(s) for s in np.flatnonzero(free[: room + 1]) if s][::-1]
+        sizes = [int(s) for s in np.flatnonzero(free[: room + 1]) if s]
         if not sizes:
             return [()]
-        if sizes[0] == room:  # one piece that leaves no waste dominates every other set
+        if sizes[-1] == room:  # one piece that leaves no waste dominates every other set
             return [(room,)]
-        found: list[tuple[int, ...]] = []
-        best = [sizes[0]]
-
-        def fits(r: int, limit: int, chosen: tuple[int, ...]) -> int:
-            """The largest available size of at most r and limit."""
-            s = min(r, limit)
-            while s and free[s] - chosen.count(s) <= 0:
-                s -= 1
-            return s
-
-        budget = [400]
-
-        def extend(chosen: tuple[int, ...], r: int, limit: int) -> None:
-            """All ways on from a set; pieces come in falling order."""
-            budget[0] -= 1
-            s = fits(r, limit, chosen)
-            if not s or len(chosen) >= DEPTH:
-                if room - r >= best[0]:  # else one larger piece could stand for the set
-                    found.append(chosen)
-                return
-            tried = 0
-            while s and tried < BREADTH and budget[0] > 0:
-                extend((*chosen, s), r - s, s)
-                tried += 1
-                s = fits(s - 1, s - 1, chosen)
-
-        extend((), room, room)
-        found.append((sizes[0],))
-        ranked = sorted(set(found), key=lambda f: (room - sum(f), len(f)))
+        free = {s: int(free[s]) for s in sizes}
+        found: set[tuple[int, ...]] = set()
+
+        def complete(chosen: tuple[int, ...], r: int) -> None:
+            """Fills the room left, as many pieces of the largest size that fits at a time."""
+            i = bisect_right(sizes, r)
+            while i:
+                s = sizes[i - 1]
+                n = min(free[s] - chosen.count(s), r // s)
+                chosen += (s,) * n
+                r -= n * s
+                i = min(i - 1, bisect_right(sizes, r))
+            if room - r >= sizes[-1]:  # else one larger piece could stand for the set
+                found.add(tuple(sorted(chosen, reverse=True)))
+
+        def extend(chosen: tuple[int, ...], r: int, limit: int, budget: int) -> int:
+            """Ways on from a set, each with its share of the budget, whose rest is returned; pieces come in falling order."""
+            ways: list[int] = []
+            i = bisect_right(sizes, min(r, limit))
+            while i and len(ways) < BREADTH:
+                i -= 1
+                if free[sizes[i]] > chosen.count(sizes[i]):
+                    ways.append(sizes[i])
+            budget -= 1
+            if len(ways) < 2 or budget < len(ways):
+                complete(chosen, r)
+                return budget
+            for k, s in enumerate(ways):
+                share = budget // (len(ways) - k)
+                budget += extend((*chosen, s), r - s, s, share) - share
+            return budget
+
+        extend((), room, room, SETS)
+        ranked = sorted(found, key=lambda f: (room - sum(f), len(f), f))
         kept: list[tuple[int, ...]] = []
         for f in ranked:
-            if len(kept) < BREADTH and not any(_dominates(k, f) for k in kept):
+            if len(kept) == BREADTH:
+                break
+            if len(f) > COMPARED or not any(_dominates(k, f) for k in kept):
                 kept.append(f)
         return kept
 

@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -72,6 +73,19 @@ def test_packing_of_many_pieces_is_close_to_the_bound():
     assert sum(t for _, t in plan) <= -(-total // 1024) * 1.005
 
 
+@pytest.mark.parametrize("some", [{30: 100_000}, {10: 100_000}, {1: 100_000}, {s: 7 * s + 100 for s in range(1, 61)}, {s: 90 for s in range(100, 200)}, {1: 200_000, **{s: 50 for s in range(200, 700)}}])
+def test_packing_of_short_pieces_is_close_to_the_bound(some):
+    plan = packing.plan([some.get(s, 0) for s in range(1025)])
+    packed = Counter()
+    for filling, times in plan:
+        assert sum(filling) <= 1024
+        packed.update({s: times * n for s, n in Counter(filling).items()})
+    assert packed == some
+    whole = 1024 // max(some) * max(some) if len(some) == 1 else 1024  # what equal pieces can fill
+    total = sum(s * n for s, n in some.items())
+    assert sum(t for _, t in plan) <= -(-total // whole) * 1.01
+
+
 # prefix signatures
 @settings(max_examples=200, deadline=None)
 @given(st.integers(1, 260), st.integers(0, 2**32), st.floats(0, 1))
