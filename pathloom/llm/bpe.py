@@ -2,12 +2,15 @@
 
 The vocabulary's split never joins what stands before a run of white space with that run, so a text is
 cut there into units, each distinct unit is encoded once per task, and ids are gathered by unit. Texts
-with white space beyond ASCII are encoded whole. `tests/llm` compares the ids with the tokenizers library.
+with white space beyond ASCII are encoded whole. Texts are cut at the vocabulary's added tokens before
+that, as the tokenizers library does. `tests/llm` compares the ids with that library.
 """
 
 from __future__ import annotations
 
 import base64
+import json
+import os
 import re
 
 import numpy as np
@@ -26,6 +29,19 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def added_tokens(path: str) -> dict[bytes, int]:
+    """The added tokens that the library's file beside the rank file names."""
+    path = os.path.splitext(path)[0] + ".json"
+    if not os.path.exists(path):
+        return {}
+    with open(path, encoding="utf-8") as f:
+        tokens = json.load(f)["added_tokens"]
+    for t in tokens:
+        if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]:
+            raise ValueError(f"added token {t['content']!r} of {path} is not matched as plain text")
+    return {t["content"].encode(): t["id"] for t in tokens}
+
+
 class UnitCache:
     """Ids of distinct units (segments of a buffer), found once and kept by the units' hashes."""
 
@@ -84,11 +100,15 @@ class UnitCache:
 
 class Encoder(UnitCache):
     def __init__(self, path: str | None = None):
-        with open(path or default_vocabulary(), "rb") as lines:
+        path = path or default_vocabulary()
+        with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.sizes = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
         self.sizes[list(ranks.values())] = [len(t) for t in ranks]
+        self.added = added_tokens(path)
+        longest = sorted(self.added, key=len, reverse=True)
+        self.any_added = re.compile(b"|".join(map(re.escape, longest))) if longest else None
         super().__init__()
 
     def _learn(self, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, buf: np.ndarray) -> None:
@@ -110,6 +130,23 @@ class Encoder(UnitCache):
 
     def encode(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and how many each text has."""
+        raw = buf.tobytes()
+        if self.any_added is None or not self.any_added.search(raw):
+            return self._between(buf, offsets)
+        found = [m for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True) for m in self.any_added.finditer(raw, a, b)]
+        starts, ends = (np.array([m.span()[k] for m in found], dtype=np.int64) for k in (0, 1))
+        plain = np.ones(len(buf), dtype=bool)
+        plain[tx.spans(starts, ends - starts)] = False
+        # Parts: texts without the added tokens, cut where those stood.
+        edges = np.sort(np.concatenate([offsets, starts]))
+        ids, sizes = self._between(buf[plain], np.concatenate([[0], np.cumsum(plain)])[edges])
+        part = np.searchsorted(offsets, starts, side="right") + np.arange(len(found))
+        ids = np.insert(ids, np.cumsum(sizes)[part - 1], np.array([self.added[m[0]] for m in found], dtype=ids.dtype))
+        sizes[part] += 1
+        return ids, tx.per_doc(sizes, np.arange(len(offsets)) + np.searchsorted(starts, offsets))
+
+    def _between(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts without added tokens."""
         if _OTHER_SPACE.search(buf.tobytes().decode("utf-8", "replace")):
             return self._whole(buf, offsets)
         inside = tx.IS_WORD[buf]

@@ -2,7 +2,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 
 from pathloom.llm import text as tx
@@ -66,6 +66,17 @@ def test_bpe_ids_are_those_of_the_library(encoders, texts):
     assert [ids[a:b].tolist() for a, b in zip(cut[:-1], cut[1:])] == [theirs.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", "a", " ", " b", "\n", "é\xa0", "1"]), max_size=9).map("".join), min_size=1, max_size=5))
+@example(["a <|endoftext|> b"])
+@example(["", "<|endoftext|>", "", "x<|endof", "text|>y", "<|endoftext|><|endoftext|>", "a <|endoftext|>", "<|endoftext|> a"])
+def test_added_tokens_are_those_of_the_library(unchanged, texts):
+    ours, theirs = unchanged
+    ids, counts = ours.encode(*group(texts))
+    cut = np.concatenate([[0], np.cumsum(counts)])
+    assert [ids[a:b].tolist() for a, b in zip(cut[:-1], cut[1:])] == [theirs.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 import public_tokenizers  # noqa: E402
 import pytest  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
@@ -76,3 +87,8 @@ def encoders():
     theirs = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     theirs.encode_special_tokens = True
     return Encoder(), theirs
+
+
+@pytest.fixture(scope="module")
+def unchanged():
+    return Encoder(), Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
