@@ -51,10 +51,11 @@ def _power(base: int, n: int) -> np.ndarray:
 class Words:
     """The words of some texts: where they start and end, and which text they are of."""
 
-    def __init__(self, buf: np.ndarray, offsets: np.ndarray):
+    def __init__(self, buf: np.ndarray, offsets: np.ndarray, inside: np.ndarray | None = None):
+        """`inside` tells which bytes are parts of words, where these are not all but white space."""
         self.buf, self.offsets = buf, offsets
         self.n_docs = len(offsets) - 1
-        inside = IS_WORD[buf]
+        inside = IS_WORD[buf] if inside is None else inside
         first, last = inside.copy(), inside.copy()
         first[1:] &= ~inside[:-1]
         last[:-1] &= ~inside[1:]
@@ -135,3 +136,10 @@ def per_doc(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     total = np.zeros(len(values) + 1, dtype=np.float64 if values.dtype.kind == "f" else np.int64)
     np.cumsum(values, out=total[1:])
     return total[bounds[1:]] - total[bounds[:-1]]
+
+
+def per_set_sum(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sums of unsigned values[bounds[d]:bounds[d + 1]], modulo 2 ** 64."""
+    total = np.zeros(len(values) + 1, dtype=U64)
+    np.cumsum(values, out=total[1:])
+    return total[bounds[1:]] - total[bounds[:-1]]
