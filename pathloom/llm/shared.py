@@ -75,3 +75,26 @@ def doc_crc(doc_id: Column) -> Column:
 def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
     ship(df.sparkSession)
     return df.mapInArrow(work, schema)
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: str, counted: DataFrame | None = None) -> DataFrame:
+    """Inner join of `left` with `right`, whose keys are unique, where a few keys may hold most rows of `left`.
+
+    A key with more than its share of rows is dealt to several tasks by a hash of the column `spread`, and its row
+    of `right` goes to each of them. Fewer than 4 keys a partition can be so; these alone are broadcast.
+    `counted` holds the keys of `left` where reading them there costs less.
+    """
+    spark = left.sparkSession
+    fair = 4 * parts(spark)
+    counted = left if counted is None else counted
+    counts = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c"))
+    total = counted.count()
+    hot = counts.where(F.col("__c") * fair > total).withColumn("__salts", F.ceil(F.col("__c") * fair / total).cast("int")).drop("__c")
+    found = [tuple(r) for r in hot.collect()] if total > fair else []
+    if not found:
+        return left.join(right, keys)
+    hot = F.broadcast(spark.createDataFrame(found, hot.schema))
+    salt = F.coalesce(F.pmod(F.xxhash64(spread), F.col("__salts")).cast("int"), F.lit(0))
+    left = left.join(hot, keys, "left").withColumn("__salt", salt).drop("__salts")
+    right = right.join(hot, keys, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1))).drop("__salts")
+    return left.join(right, [*keys, "__salt"]).drop("__salt")
