@@ -11,11 +11,7 @@ sets' Jaccard similarity is at least PERCENT / 100; classes are the connected co
    itself, frequent ones (by class, CLASSES) in combinations of k within small hash groups, as any two
    frequent shingles are shared by many documents but a combination is not. The prefix reaches so far
    that, whatever a linked document may lack, one whole combination is common to both (`signatures`).
-4. Candidates are verified on their whole sets. First each document is compared with the one it shares
-   most signatures with among the smallest of each signature's documents, so that a group of copies
-   costs one comparison a document; while many pairs are left, each document outside the largest class
-   of a signature is compared with a few more members of it. Then every pair that shares a signature,
-   may link by its sizes and is not yet connected is verified. No link between classes is lost, and no
+4. Candidates are verified on their whole sets and grouped (`grouping`). No link between classes is lost, and no
    group of linked documents is written out in pairs.
 
 Defined results: a null or empty text, or one without words, has an empty set, is linked with nothing
@@ -30,14 +26,14 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pathloom.llm import grouping
 from pathloom.llm import text as tx
-from pathloom.llm.components import connect
+from pathloom.llm.grouping import runs
 from pathloom.llm.shared import even_keys, map_arrow, parts, written
 
 U64 = np.uint64
@@ -48,10 +44,6 @@ CLASSES = (16, 256)
 GROUP_BITS = 3
 #: Sets of fewer shingles index every shingle alone.
 SMALL_BITS = 4
-#: Rounds in which documents are compared with TRIES members of larger classes, before all pairs left are.
-ROUNDS, TRIES = 3, 4
-#: Shingles and documents of a block, where all pairs left are verified.
-BLOCK_SHINGLES, BLOCK_ROWS = 400_000, 1000
 #: Shingles a task gathers before it deals them out.
 FLUSH = 2_000_000
 _KEY = (1 << 40) - 1
@@ -97,12 +89,6 @@ def _unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     return rows, counts, keys.view(np.uint64).ravel(), extra
 
 
-def _runs(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where runs of equal values begin, and their lengths."""
-    first = np.flatnonzero(np.concatenate([[True], sorted_values[1:] != sorted_values[:-1]])) if len(sorted_values) else np.empty(0, dtype=np.int64)
-    return first, np.diff(np.append(first, len(sorted_values)))
-
-
 _BLOCKS = "kind int, part long, info struct<row: long, doc_id: long, n: long, a: long, b: long>, payload binary"
 _INFO = pa.struct([("row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
@@ -129,9 +115,9 @@ def _deal(docs: DataFrame, keys: list[int]) -> DataFrame:
             part = ((h >> U64(48)) * U64(n_parts)) >> U64(16)
             order = np.argsort(part.astype(np.uint16), kind="stable")
             part, row, h = part[order], row[order], h[order]
-            begin, length = _runs(part)
+            begin, length = runs(part)
             for b, n in zip(begin.tolist(), length.tolist(), strict=True):
-                at, count = _runs(row[b : b + n])
+                at, count = runs(row[b : b + n])
                 payload = _pack(row[b : b + n][at], count, h[b : b + n] & U64(_KEY))
                 yield _rows(0, places[part[b : b + 1].astype(np.int64)], None, [payload])
 
@@ -177,7 +163,7 @@ def _count(blocks: DataFrame, keys: list[int]) -> DataFrame:
             key = np.concatenate([b[2] for b in blocks])
             del blocks
             order = np.argsort(key, kind="stable")
-            begin, length = _runs(key[order])
+            begin, length = runs(key[order])
             df = np.repeat(length, length)
             shared = df > 1
             order, df = order[shared], df[shared]
@@ -185,9 +171,9 @@ def _count(blocks: DataFrame, keys: list[int]) -> DataFrame:
             home = (tx.mix(row.astype(U64)) % U64(n_parts)).astype(np.int64)
             order = np.lexsort((key, row, home))
             home, row, key, df = home[order], row[order], key[order], df[order]
-            at, count = _runs(home)
+            at, count = runs(home)
             for b, n in zip(at.tolist(), count.tolist(), strict=True):
-                first, size = _runs(row[b : b + n])
+                first, size = runs(row[b : b + n])
                 payload = _pack(row[b : b + n][first], size, key[b : b + n] & U64(_KEY), np.minimum(df[b : b + n], 65535))
                 yield _rows(2, places[home[b : b + 1]], None, [np.int64(number[part]).tobytes() + payload])
 
@@ -254,7 +240,7 @@ def signatures(key: np.ndarray, df: np.ndarray, n: int) -> np.ndarray:
         _, number = np.unique(group, return_inverse=True)
         # The place of each shingle in its group, in order; it counts once k - 1 stand before it.
         by = np.argsort(number, kind="stable")
-        first, length = _runs(number[by])
+        first, length = runs(number[by])
         place = np.empty(len(key), dtype=np.int64)
         place[by] = np.arange(len(key)) - np.repeat(first, length)
         total = np.cumsum(place >= kinds - 1)
@@ -264,7 +250,7 @@ def signatures(key: np.ndarray, df: np.ndarray, n: int) -> np.ndarray:
         many = np.flatnonzero(~single)
         if len(many):
             many = many[np.argsort(number[many], kind="stable")]
-            first, length = _runs(number[many])
+            first, length = runs(number[many])
             sigs = []
             for b, m in zip(first.tolist(), length.tolist(), strict=True):
                 k = int(kinds[many[b]])
@@ -288,125 +274,6 @@ def _index(sets: DataFrame) -> DataFrame:
     return map_arrow(sets.select("row", "n", "shingles", "df"), work, "sig long, row long, n long")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the pairs (x, y) whose whole sets are similar enough."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nx, ny = batch.column("nx").to_numpy(), batch.column("ny").to_numpy()
-            ok = np.zeros(batch.num_rows, dtype=bool)
-            for i in range(batch.num_rows):
-                both = np.concatenate([np.frombuffer(batch.column(c)[i].as_py(), U64) for c in ("sx", "sy")])
-                both.sort()
-                common = int((both[1:] == both[:-1]).sum())
-                ok[i] = 100 * common >= PERCENT * (nx[i] + ny[i] - common)
-            yield pa.RecordBatch.from_arrays([batch.column("x"), batch.column("y")], ["x", "y"]).filter(pa.array(ok))
-
-    x = sets.select(F.col("row").alias("x"), F.col("n").alias("nx"), F.col("shingles").alias("sx"))
-    y = sets.select(F.col("row").alias("y"), F.col("n").alias("ny"), F.col("shingles").alias("sy"))
-    return map_arrow(pairs.select("x", "y").join(x, "x").join(y, "y"), work, "x long, y long")
-
-
-_MAY_LINK = f"100 * least(n, m) >= {PERCENT} * greatest(n, m)"
-
-
-def _stars(index: DataFrame) -> DataFrame:
-    """For each document the one it shares most signatures with, among the first documents of its signatures."""
-    stars = index.select("row", "n", F.col("least.row").alias("y"), F.col("least.n").alias("m")).where(f"row <> y AND {_MAY_LINK}")
-    stars = stars.groupBy("row", "y").agg(F.count(F.lit(1)).alias("c"))
-    return stars.groupBy(F.col("row").alias("x")).agg(F.max(F.struct("c", (-F.col("y")).alias("y"))).alias("best")).select("x", (-F.col("best.y")).alias("y"))
-
-
-def _open(index: DataFrame, label: DataFrame) -> tuple[DataFrame, int]:
-    """The rows of signatures whose documents are not all connected, with their labels, and how many pairs they hold at most."""
-    placed = index.select("sig", "row", "n").join(label.withColumnRenamed("vertex", "row"), "row", "left")
-    placed = placed.select("sig", "row", "n", F.coalesce("label", "row").alias("label"))
-    sizes = placed.groupBy("sig", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("sig")
-    sizes = sizes.agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.max(F.struct("c", "label")).alias("largest"))
-    mixed = sizes.where("squares < c * c").select("sig", F.col("largest.label").alias("largest"), ((F.col("c") * F.col("c") - F.col("squares")) / 2).alias("pairs"))
-    mixed = written(mixed, "open-signatures")
-    pairs = mixed.agg(F.sum("pairs")).first()[0] or 0
-    return written(placed.join(mixed.drop("pairs"), "sig"), "open-index"), int(pairs)
-
-
-def _towards_largest(open_index: DataFrame, number: int) -> DataFrame:
-    """For each document outside the largest class of a signature a few members of that class, others every round."""
-    draw = F.xxhash64("row", "sig", F.lit(number))
-    member = open_index.where("label = largest").groupBy("sig").agg(F.min(F.struct(draw.alias("h"), F.col("row").alias("y"), F.col("n").alias("m"))).alias("p"))
-    pairs = open_index.where("label <> largest").join(member, "sig").select(F.col("row").alias("x"), "n", F.col("p.y").alias("y"), F.col("p.m").alias("m")).where(_MAY_LINK)
-    counted = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("c"))
-    some = counted.groupBy("x").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("c")).alias("c"), F.xxhash64("y", F.lit(number)).alias("h"), "y"))), 1, TRIES).alias("some"))
-    return some.select("x", F.explode("some.y").alias("y"))
-
-
-def _resolved(open_index: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links that connect what is left: every pair of a signature's documents is verified unless they are connected by then.
-
-    Documents connected by signatures form clusters; small ones share a block, a large one is cut into
-    blocks, and every two of its blocks meet in a group of bounded size. No pair leaves its group unless
-    it connects two classes.
-    """
-    least = open_index.groupBy("sig").agg(F.min("row").alias("y"))
-    edges = open_index.join(least, "sig").where("row <> y").select(F.col("row").alias("x"), "y").distinct()
-    cluster = connect(edges).select(F.col("vertex").alias("row"), F.col("label").alias("cluster"))
-    rows = open_index.groupBy("row").agg(F.first("label").alias("label"), F.first("n").alias("n"), F.collect_list("sig").alias("sigs"))  # a document's own signatures
-    rows = written(rows.join(cluster, "row"), "open-rows")
-    sizes = rows.groupBy("cluster").agg(F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count(F.lit(1)) / BLOCK_ROWS)).cast("int").alias("cuts"))
-    small = 1 + int((rows.agg(F.sum("n")).first()[0] or 0) / BLOCK_SHINGLES)
-    i = F.pmod(F.xxhash64("row"), F.col("cuts")).cast("int")
-    placed = rows.join(sizes, "cluster").withColumn("i", i).withColumn("cluster", F.when(F.col("cuts") == 1, F.pmod(F.xxhash64("cluster"), F.lit(small))).otherwise(F.col("cluster") + (1 << 62)))
-    met = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("j"))
-    met = met.select("cluster", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "i", "row", "n", "label", "sigs")
-
-    def work(group: pd.DataFrame) -> pd.DataFrame:
-        within = bool((group["lo"] == group["hi"]).all())
-        side = (group["i"] == group["hi"]).to_numpy()
-        row, n = group["row"].to_numpy(), group["n"].to_numpy()
-        sets = [np.frombuffer(s, U64) for s in group["shingles"]]
-        held = np.array([len(s) for s in sets])
-        _, label = np.unique(group["label"].to_numpy(), return_inverse=True)
-        parent = list(range(int(label.max()) + 1))
-
-        def root(v: int) -> int:
-            while parent[v] != v:
-                parent[v] = parent[parent[v]]
-                v = parent[v]
-            return v
-
-        number = np.repeat(np.arange(len(row)), [len(s) for s in group["sigs"]])
-        sig = np.concatenate([np.asarray(s, dtype=np.int64) for s in group["sigs"]])
-        order = np.argsort(sig, kind="stable")
-        sig, number = sig[order], number[order]
-        first, length = _runs(sig)
-        begin = np.repeat(first, length)[np.argsort(order, kind="stable")]
-        count = dict(zip(first.tolist(), length.tolist(), strict=True))
-        own = np.cumsum([0, *(len(s) for s in group["sigs"])])
-        links = []
-        for x in range(len(row)):
-            if not within and side[x]:
-                continue
-            runs = begin[own[x] : own[x + 1]]
-            others = np.unique(np.concatenate([number[b : b + count[b]] for b in runs.tolist()]))
-            others = others[others > x] if within else others[side[others]]
-            common = np.minimum(held[x], held[others])
-            others = others[(100 * common >= PERCENT * (n[x] + n[others] - common)) & (label[others] != label[x])]
-            others = others[[root(v) != root(int(label[x])) for v in label[others].tolist()]] if len(others) else others
-            if not len(others):
-                continue
-            every = np.concatenate([sets[y] for y in others.tolist()])
-            at = np.minimum(np.searchsorted(sets[x], every), held[x] - 1)
-            common = tx.per_doc(sets[x][at] == every, np.concatenate([[0], np.cumsum(held[others])]))
-            for y in others[100 * common >= PERCENT * (n[x] + n[others] - common)].tolist():
-                a, b = root(int(label[x])), root(int(label[y]))
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-                    links.append((row[x], row[y]))
-        return pd.DataFrame(links, columns=["x", "y"], dtype="int64")
-
-    whole = met.join(sets.select("row", "shingles"), "row")
-    return whole.groupBy("cluster", "lo", "hi").applyInPandas(work, "x long, y long")
-
-
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (and row, a number of the row) for every row of `docs`."""
     spark = docs.sparkSession
@@ -416,37 +283,11 @@ def classes(docs: DataFrame) -> DataFrame:
     rows = written(_gather(_count(dealt, keys).repartition(n, "part")), "shingles")
 
     able = rows.where(F.col("shingles").isNotNull())
-    # Written, so that in the join nothing but plain shuffles meet and a large group of copies can be split.
-    same = written(able.groupBy("n", "a", "b").agg(F.min("row").alias("rep")), "equal-sets")
-    member = written(able.select("row", "doc_id", "n", "a", "b").join(same, ["n", "a", "b"]).select("row", "doc_id", "rep"), "copies")
-    sets = written(able.select("row", "n", "shingles", "df").join(member.where("row = rep").select("row"), "row"), "sets")
-
-    index = written(_index(sets), "index")
-    shared = index.groupBy("sig").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("row", "n")).alias("least")).where("c > 1").drop("c")
-    index = written(index.join(shared, "sig"), "shared-index")
-
-    links = written(_verify(_stars(index), sets), "links")
-    label = connect(links)
-    enough = sets.count()
-    for number in range(ROUNDS):
-        open_index, left = _open(index, label)
-        if left <= 4 * enough:
-            break
-        more = written(_verify(_towards_largest(open_index, number), sets), "links")
-        links = links.union(more)
-        label = connect(links)
-        if 20 * more.count() < enough:
-            break
-    open_index, left = _open(index, label)
-    if left:
-        label = connect(links.union(written(_resolved(open_index, sets), "links")))
-
-    found = member.join(label.withColumnRenamed("vertex", "rep"), "rep", "left").select("row", "doc_id", F.coalesce("label", "rep").alias("label"))
-    least = found.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    found = found.join(least, "label").select("row", "component_id", F.lit(True).alias("placed"))
-    out = rows.select("row", "doc_id", "n").join(found, "row", "left")
-    component = F.when(F.col("placed"), F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "row")
+    member = grouping.equal_sets(able)
+    reps = able.select("row", "n", "shingles", "df").join(member.where("row <> rep").select("row"), "row", "left_anti")
+    index = written(_index(reps), "index")
+    label = grouping.classes(index, grouping.Sets(able.select("row", "n", "shingles"), PERCENT))
+    return grouping.placed_rows(rows.select("row", "doc_id", "n"), member, label).withColumnRenamed("n", "n_shingles")
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
