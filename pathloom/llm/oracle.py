@@ -114,4 +114,89 @@ SELECT pair_id, prefix_turns, coalesce(prompt.body, '') AS prompt, coalesce(c.bo
 FROM cut LEFT JOIN prompt USING (pair_id) LEFT JOIN c USING (pair_id) LEFT JOIN r USING (pair_id)
 """
 
-ORACLE: dict[str, str] = {"op1_quality_rules": QUALITY_RULES, "op2_preferences": PREFERENCES, "op6_url_filters": URL_FILTERS}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _near_copies(size: int, percent: int, more: str = "") -> str:
+    """Classes of documents by Jaccard similarity of their shingles of `size` words, all pairs compared."""
+    component = "least(doc_id, coalesce(y, doc_id))"
+    return f"""
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_SPACE}') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= {size} THEN list_transform(range(1, len(w) - {size - 2}), lambda i: array_to_string(w[i:i + {size - 1}], ' '))
+                                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM words),
+sizes AS (SELECT doc_id, count(s) AS n FROM documents LEFT JOIN shingles USING (doc_id) GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= {percent} * (p.n + q.n - c)),
+reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
+least AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT doc_id, n AS n_shingles, {component} AS component_id{more.format(component=component)}
+FROM sizes LEFT JOIN least ON x = doc_id
+"""
+
+
+# CRC-32 in SQL: the 256 remainders of a byte, and a fold over the bytes of a text's UTF-8.
+_CRC_TABLE = "remainders AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i::BIGINT, range(8)), lambda c, k: xor(c >> 1, (c & 1) * 3988292384)) AS v FROM range(256) r(i)))"
+
+
+def _crc(h: str) -> str:
+    """The checksum of a text of which `h` is the hexadecimal UTF-8, beside `remainders`."""
+    byte = f"(16 * (instr('0123456789ABCDEF', {h}[i]) - 1) + instr('0123456789ABCDEF', {h}[i + 1]) - 1)::BIGINT"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length({h}), 2), lambda i: {byte})), lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295)"
+
+
+RESAMPLING = f"""
+WITH {_CRC_TABLE},
+texts AS (SELECT 0 AS side, doc_id AS id, {_LOWER} AS text FROM documents UNION ALL SELECT 1, item_id, {_LOWER} FROM benchmark),
+words AS (SELECT side, id, regexp_extract_all(text, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM texts),
+runs AS (
+  SELECT side, id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+                                      list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS f FROM words),
+kinds AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM runs)),
+hashed AS (SELECT f, {_crc("h")} % 10000 AS bucket FROM kinds, remainders),
+features AS (SELECT side, id, bucket, count(*) AS n FROM runs JOIN hashed USING (f) GROUP BY ALL),
+held AS (SELECT bucket, coalesce(sum(n) FILTER (side = 0), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (side = 1), 0)::DOUBLE AS t FROM features GROUP BY bucket),
+gains AS (SELECT bucket, floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000))))::BIGINT AS gain FROM held),
+weights AS (SELECT id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight FROM features JOIN gains USING (bucket) WHERE side = 0 GROUP BY id),
+scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || doc_id), 1, 8))::BIGINT + 0.5) / 4294967296)))::BIGINT AS score
+  FROM documents d JOIN words w ON w.side = 0 AND w.id = d.doc_id LEFT JOIN weights k ON k.id = d.doc_id),
+placed AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS total FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 5 * total // 100 THEN place END AS rank
+FROM scored LEFT JOIN placed USING (doc_id)
+"""
+
+SPELLING = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL),
+hashed AS (SELECT run, n, {_crc("h")} AS c FROM (SELECT *, hex(encode(doc_id || ':' || run)) AS h FROM counted), remainders),
+planted AS (SELECT CASE WHEN c % 97 = 0 THEN substr(run, 1, (c % length(run))::BIGINT) || substr(run, (c % length(run))::BIGINT + 2) ELSE run END AS word, n FROM hashed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM planted WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+holes AS (SELECT word, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT x.word, y.word AS near FROM holes x JOIN holes y ON x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT h.word, w.word FROM holes h JOIN words w ON w.word = h.a || h.b
+  UNION SELECT w.word, h.word FROM holes h JOIN words w ON w.word = h.a || h.b),
+ranked AS (
+  SELECT p.word, w.word AS near, w.n AS near_n, count(*) OVER (PARTITION BY p.word) AS n_near,
+         row_number() OVER (PARTITION BY p.word ORDER BY w.n DESC, w.word) AS place
+  FROM near p JOIN words w ON w.word = p.near),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * w.n THEN near END AS form, CASE WHEN near_n >= 2 * w.n THEN near_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND place = 1),
+way AS (SELECT word, word AS at FROM forms UNION ALL SELECT y.word, f.form FROM way y JOIN forms f ON f.word = y.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, y.at AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN way y ON y.word = f.word JOIN forms e ON e.word = y.at AND e.form IS NULL
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_quality_rules": QUALITY_RULES,
+    "op2_preferences": PREFERENCES,
+    "op6_url_filters": URL_FILTERS,
+    "op10_ngram_join": _near_copies(5, 80),
+    "op11_importance_resampling": RESAMPLING,
+    "op12_super_minhash": _near_copies(3, 85, ", doc_id = {component} AS kept"),
+    "op13_spelling_variants": SPELLING,
+}

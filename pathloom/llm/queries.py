@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathloom.llm import cover_tree, kneser_ney, ngram_join, packing, pii, preferences, quality_crf, quality_rules, unigram, url_filters
+from pathloom.llm import cover_tree, importance, kneser_ney, ngram_join, packing, pii, preferences, quality_crf, quality_rules, spelling, super_minhash, unigram, url_filters
 from pathloom.llm.shared import table
 
 #: (host, path, verdict): the longest that fits decides.
@@ -70,6 +70,19 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return super_minhash.mark_copies(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents"), plant=spelling.PLANT))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_preferences": op2_preferences,
@@ -81,4 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_cover_tree": op8_cover_tree,
     "op9_pii": op9_pii,
     "op10_ngram_join": op10_ngram_join,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_super_minhash": op12_super_minhash,
+    "op13_spelling_variants": op13_spelling_variants,
 }
