@@ -30,6 +30,7 @@ _ITEMS = "array<struct<ids:array<string>,template:int,text:string>>"
 _NODE = f"struct<own:{_ITEMS},below:{_ITEMS}>"
 _ENTRIES = f"array<struct<key:string,value:{_NODE}>>"
 _VARIABLES = count()
+_SPACE = "[ \\t\\r\\n]*"
 
 
 def sql_text(value: str) -> str:
@@ -93,8 +94,8 @@ def may_be_rewritten(text: str) -> str:
 class TypedRecord:
     """Reads records parsed with a schema that holds just the wanted leaves, as strings.
 
-    It takes an object for a leaf and a JSON null for no leaf, so it is only right where
-    ``may_be_rewritten`` is false for all leaves and ``may_hold_null`` for the record's text.
+    It takes an object for a leaf and a JSON null for no leaf, so it is only right where ``may_hold_odd`` is false
+    for the record's text, or ``may_be_rewritten`` for all leaves and ``may_hold_null`` for the text.
     """
 
     def __init__(self, templates: Sequence[Template], root: Sequence[str]) -> None:
@@ -112,6 +113,7 @@ class TypedRecord:
                     raise ValueError(f"{template.path}: a leaf above another leaf")
             if node.setdefault(template.leaf[-1], None) is not None:
                 raise ValueError(f"{template.path}: a leaf above another leaf")
+        self.tree = tree
         self.schema = self._struct(tree).add(UNEXPECTED, T.StringType())
 
     @classmethod
@@ -138,9 +140,40 @@ class TypedRecord:
 
     def may_hold_null(self, text: str) -> str:
         """Might the text hold a JSON null at a wanted leaf? An escaped key may be any key."""
-        names = "|".join(_literal(name) for name in dict.fromkeys(self.leaves))
-        null = sql_text(f'"({names})"[ \\t\\r\\n]*:[ \\t\\r\\n]*null')
-        return f"(contains({text}, 'null') AND ({text} RLIKE {null} OR contains({text}, {sql_text(chr(92))})))"
+        null = sql_text(f'"({self._names()})"{_SPACE}:{_SPACE}null')
+        return f"(contains({text}, 'null') AND ({text} RLIKE {null} OR {self._escaped_key(text)}))"
+
+    def may_hold_odd(self, text: str) -> str:
+        """Might a wanted leaf be null, an object or array, or a number that a string type would rewrite?
+
+        One scan of the text; where it finds nothing, no leaf needs to be looked at.
+        """
+        odd = sql_text(f'"({self._names()})"{_SPACE}:{_SPACE}(null|[\\[{{]|-?[0-9]+[.eE]|-?[0-9]{{38}}|"-?(Infinity|NaN)")')
+        return f"({text} RLIKE {odd} OR {self._escaped_key(text)})"
+
+    def _names(self) -> str:
+        return "|".join(_literal(name) for name in dict.fromkeys(self.leaves))
+
+    def _escaped_key(self, text: str) -> str:
+        """Might a key be written with escapes? Plain names can only be by their code points."""
+        plain = all(c.isalnum() or c in "_-. " for name in self.leaves for c in name)
+        return f"contains({text}, {sql_text(chr(92) + 'u' if plain else chr(92))})"
+
+    def repeats(self, parsed: str) -> str:
+        """Is any instance there twice?"""
+
+        def tests(node: str, tree: dict) -> list[str]:
+            found = []
+            for key, child in tree.items():
+                if key == MARK:
+                    found.append(f"size(array_distinct(map_keys({node}))) < size({node})")
+                    if tests("", child):
+                        found.append(higher_order("exists", f"map_values({node})", lambda v: " OR ".join(tests(v, child))))
+                elif child is not None:
+                    found += tests(f"{node}.{sql_name(key)}", child)
+            return found
+
+        return " OR ".join(f"coalesce({test}, false)" for test in tests(parsed, self.tree)) or "false"
 
     def parse(self, value: Column) -> Column:
         return F.from_json(value, self.schema, {**STRICT_JSON, "columnNameOfCorruptRecord": UNEXPECTED})

@@ -13,6 +13,10 @@ from pathloom.functions.records import OBJECT, STRICT_JSON, higher_order, json_p
 from pathloom.plans.templates import TemplateSpec, normalise
 
 ID_PATTERNS = {"numeric": "[0-9]+", "any": "[^.]+"}
+#: Stands before the text of strings while JSON is read as string maps.
+STRING_MARK = "~"
+_IN_STRING = r'(?:[^"\\]++|\\.)*+'
+_LEAVES = "array<struct<keys:array<string>,value:string>>"
 
 
 def root_keys(root: str | Sequence[str] | None) -> tuple[str, ...]:
@@ -32,40 +36,69 @@ def path_map(value: Column, root: str | Sequence[str] | None = None) -> Column:
     """
     keys = root_keys(root)
     top = F.try_variant_get(F.try_parse_json(value), json_path(keys), OBJECT)
-    items = _fold(value, F.map_entries(top), _open_object)
-    leaves = F.transform(F.filter(items, _has_leaf), _leaf)
-    return F.coalesce(_once(leaves, _first_of_each_key), string_path_map(value, keys))
+    leaves = _leaves(value, F.map_entries(top), _variant_entries, lambda v: F.try_variant_get(v, "$", "string"))
+    return F.coalesce(_by_path(leaves), string_path_map(value, keys))
 
 
 def string_path_map(value: Column, keys: Sequence[str] = ()) -> Column:
     """The path map of JSON that a variant cannot hold (repeated keys, very large), read as nested string maps.
 
-    A string that itself is the text of an object is taken for that object here.
+    One scan puts ``STRING_MARK`` before the text of every string, so that the first character of a value, as
+    a string map holds it, tells a string from the object or array it may look like.
     """
-    text = value
+    text = F.regexp_replace(value, f'"({_IN_STRING})"', f'"{STRING_MARK}$1"')
     for key in keys:
-        text = F.try_element_at(F.filter(_string_items(text), lambda e, key=key: e.getField("key") == key), F.lit(-1)).getField("value")
-    items = _fold(text, _once_each(_string_items(text)), _open_string)
-    return F.when(F.try_parse_json(value).isNull(), _once(items, _first_of_each_key))
+        text = F.try_element_at(F.filter(_string_entries(text), lambda e, key=key: e.getField("key") == key), F.lit(-1)).getField("value")
+    leaves = _leaves(value, _string_entries(text), _string_entries, _string_text)
+    return F.when(F.try_parse_json(value).isNull(), _by_path(leaves))
 
 
-def _once(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)``, a map, with ``value`` made once: a fold over one element."""
-    return F.aggregate(F.array(value), F.lit(None).cast("map<string,string>"), lambda _, found: body(found))
+def _let(value: Column, body: Callable[[Column], Column], result_type: str) -> Column:
+    """``body(value)`` with ``value`` made once: a fold over one element."""
+    return F.aggregate(F.array(value), F.lit(None).cast(result_type), lambda _, found: body(found))
 
 
-def _fold(text: Column, items: Column, opened: Callable[[Column], Column]) -> Column:
-    """Opens objects as many times as braces nest in the text, outside of strings."""
-    braces = F.regexp_replace(F.regexp_replace(text, r'"(?:[^"\\\\]++|\\\\.)*+"', ""), "[^{}]", "")
+def _depth(text: Column) -> Column:
+    """How many braces nest in the text, outside of strings."""
+    braces = F.regexp_replace(F.regexp_replace(text, f'"{_IN_STRING}"', ""), "[^{}]", "")
     start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
 
     def step(acc: Column, brace: Column) -> Column:
         now = acc.getField("now") + F.when(brace == "{", 1).when(brace == "}", -1).otherwise(0)
         return F.struct(now.alias("now"), F.greatest(acc.getField("most"), now).alias("most"))
 
-    depth = F.aggregate(F.split(braces, ""), start, step, lambda acc: acc.getField("most"))
+    return F.aggregate(F.split(braces, ""), start, step, lambda acc: acc.getField("most"))
+
+
+def _leaves(text: Column, entries: Column, inner: Callable[[Column], Column], leaf: Callable[[Column], Column]) -> Column:
+    """``keys, value`` of every leaf below the entries of an object.
+
+    A fold with two lists: nodes not looked at yet, with their entries where they are objects, and finished leaves. So
+    every node is opened once, one level a step; ``inner`` gives the entries of an object, NULL for any other value.
+    """
+
+    def nodes(above: Column | None, found: Column) -> Column:
+        def node(e: Column) -> Column:
+            own = F.array(e.getField("key"))
+            keys = own if above is None else F.concat(above, own)
+            return F.struct(keys.alias("keys"), e.getField("value").alias("value"), inner(e.getField("value")).alias("inner"))
+
+        return F.transform(found, node)
+
+    def finished(items: Column) -> Column:
+        plain = F.filter(items, lambda i: i.getField("inner").isNull())
+        return F.transform(plain, lambda i: F.struct(i.getField("keys").alias("keys"), leaf(i.getField("value")).alias("value")))
+
+    def step(acc: Column, _: Column) -> Column:
+        items, done = acc.getField("items"), acc.getField("done")
+        opened = F.filter(items, lambda i: i.getField("inner").isNotNull())
+        below = F.flatten(F.transform(opened, lambda i: nodes(i.getField("keys"), i.getField("inner"))))
+        return F.when(F.size(items) == 0, acc).otherwise(F.struct(below.alias("items"), F.concat(done, finished(items)).alias("done")))
+
+    depth = _depth(text)
     levels = F.when(depth > 1, F.sequence(F.lit(2), depth)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(levels, items, lambda found, _: F.flatten(F.transform(found, opened)))
+    start = F.struct(nodes(None, entries).alias("items"), F.array().cast(_LEAVES).alias("done"))
+    return F.aggregate(levels, start, step, lambda acc: F.concat(acc.getField("done"), finished(acc.getField("items"))))
 
 
 def flat_keys(df: DataFrame, value: Column, keep: Sequence[str], root: Sequence[str], name: str) -> DataFrame:
@@ -88,56 +121,49 @@ def flat_keys(df: DataFrame, value: Column, keep: Sequence[str], root: Sequence[
     )
 
 
-def _open_object(item: Column) -> Column:
-    def child(entry: Column) -> Column:
-        key = F.concat(item.getField("key"), F.lit("."), entry.getField("key"))
-        return F.struct(key.alias("key"), entry.getField("value").alias("value"))
-
-    inner = F.try_variant_get(item.getField("value"), "$", OBJECT)
-    return F.coalesce(F.transform(F.map_entries(inner), child), F.array(item))
+def _variant_entries(value: Column) -> Column:
+    return F.map_entries(F.try_variant_get(value, "$", OBJECT))
 
 
-def _has_leaf(item: Column) -> Column:
-    value = item.getField("value")
-    text, fields = F.try_variant_get(value, "$", "string"), F.try_variant_get(value, "$", OBJECT)
-    return text.isNull() | (text != "{}") | fields.isNull()
+def _string_entries(value: Column) -> Column:
+    """Entries of an object's marked text, without the marks of their keys; of a repeated key the last."""
+    object_ = F.when(F.ltrim(value).startswith("{"), value)
+    items = F.map_entries(F.from_json(object_, T.MapType(T.StringType(), T.StringType()), STRICT_JSON))
 
+    def once(found: Column) -> Column:
+        def placed(e: Column, n: Column) -> Column:
+            return F.struct(F.substring(e.getField("key"), 2, 1 << 30).alias("key"), (-n).alias("place"), e.getField("value").alias("value"))
 
-def _leaf(item: Column) -> Column:
-    text = F.try_variant_get(item.getField("value"), "$", "string")
-    return F.struct(item.getField("key").alias("key"), text.alias("value"))
+        return F.map_entries(_first_of_each_key(F.transform(found, placed)))
 
+    return _let(items, once, "array<struct<key:string,value:string>>")
 
-def _first_of_each_key(leaves: Column) -> Column:
-    keys = leaves.getField("key")
-    unique = F.size(F.array_distinct(keys)) == F.size(keys)
-    placed = F.transform(leaves, lambda e, n: F.struct(e.getField("key").alias("key"), n.alias("n"), e.getField("value").alias("value")))
 
-    def firsts(ordered: Column) -> Column:
-        new = lambda e, n: (n == 0) | (F.get(ordered, n - 1).getField("key") != e.getField("key"))
-        return F.map_from_entries(F.transform(F.filter(ordered, new), lambda e: F.struct(e.getField("key"), e.getField("value"))))
+def _string_text(value: Column) -> Column:
+    """The text of a marked leaf."""
+    array = F.regexp_replace(value, f'"{STRING_MARK}({_IN_STRING})"', '"$1"')
+    return F.when(value.startswith(STRING_MARK), F.substring(value, 2, 1 << 30)).when(value.startswith("["), array).otherwise(value)
 
-    return F.when(unique, F.map_from_entries(leaves)).otherwise(_once(F.sort_array(placed), firsts))
 
+def _by_path(leaves: Column) -> Column:
+    def named(e: Column) -> Column:
+        keys = e.getField("keys")
+        return F.struct(F.array_join(keys, ".").alias("key"), keys.alias("place"), e.getField("value").alias("value"))
 
-def _string_items(text: Column) -> Column:
-    return F.map_entries(F.from_json(text, T.MapType(T.StringType(), T.StringType()), STRICT_JSON))
+    return _let(F.transform(leaves, named), _first_of_each_key, "map<string,string>")
 
 
-def _once_each(items: Column) -> Column:
-    """Entries of one object in the order of keys, as in a variant; of a repeated key the last."""
+def _first_of_each_key(items: Column) -> Column:
+    """A map of ``key, place, value``; of a repeated key the value of the smallest place."""
     keys = items.getField("key")
     unique = F.size(F.array_distinct(keys)) == F.size(keys)
-    return F.when(unique, F.sort_array(items)).otherwise(F.map_entries(_once(F.reverse(items), _first_of_each_key)))
-
+    pair = lambda e: F.struct(e.getField("key"), e.getField("value"))
 
-def _open_string(item: Column) -> Column:
-    def child(entry: Column) -> Column:
-        key = F.concat(item.getField("key"), F.lit("."), entry.getField("key"))
-        return F.struct(key.alias("key"), entry.getField("value").alias("value"))
+    def firsts(ordered: Column) -> Column:
+        new = lambda e, n: (n == 0) | (F.get(ordered, n - 1).getField("key") != e.getField("key"))
+        return F.map_from_entries(F.transform(F.filter(ordered, new), pair))
 
-    inner = _once_each(_string_items(F.when(F.startswith(item.getField("value"), F.lit("{")), item.getField("value"))))
-    return F.coalesce(F.transform(inner, child), F.array(item))
+    return F.when(unique, F.map_from_entries(F.transform(items, pair))).otherwise(_let(F.sort_array(items), firsts, "map<string,string>"))
 
 
 def prune_paths(

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from pathloom.functions.types import build_schema
 from pathloom.operators.extract import extract_csv, extract_json, infer_schema, load_mapping, project
@@ -24,12 +24,14 @@ class Endpoint:
     name: str
     options: Mapping[str, str] = field(default_factory=dict)
     path: str | None = None
+    key: Sequence[str] = ()
 
     # Fixed values, here and in JobSpec: the keys of a declared job.
     @classmethod
     def from_dict(cls, spec: Mapping[str, Any]) -> Endpoint:
         meta = spec.get("metaData") or {}
-        return cls(spec["writer"], dict(spec.get("confProperties") or {}), meta.get("path"))
+        key = [k.strip() for k in (meta.get("key") or "").split(",") if k.strip()]
+        return cls(spec["writer"], dict(spec.get("confProperties") or {}), meta.get("path"), key)
 
 
 @dataclass(frozen=True)
@@ -69,28 +71,43 @@ def build_session(spec: JobSpec) -> SparkSession:
     return builder.getOrCreate()
 
 
+#: Sources that hand on messages in a column, rather than typed rows.
+MESSAGE_SOURCES = ("kafka", "socket", "text")
+
+
 def read_source(spark: SparkSession, spec: JobSpec) -> DataFrame:
-    typed = spec.source.name in ("csv", "json", "parquet")
-    schema = build_schema(spec.input_schema) if typed and spec.input_schema else None
+    schema = build_schema(spec.input_schema) if spec.source.name not in MESSAGE_SOURCES and spec.input_schema else None
     return read_stream(spark, spec.source.name, spec.source.options, spec.source.path, schema)
 
 
+def payload_column(spec: JobSpec) -> str | None:
+    """The column that holds messages: the one the processor names, or ``value`` of a source of messages. Other sources
+    give typed rows, whatever their columns are called, and None."""
+    named = spec.properties.get("payload")
+    return named or ("value" if spec.source.name in MESSAGE_SOURCES else None)
+
+
 def _json(spark: SparkSession, df: DataFrame, spec: JobSpec) -> DataFrame:
-    if "value" not in df.columns:  # rows that the source has typed already
-        return project(df, load_mapping(spark, spec.properties.get("outputSchemaPath")))
+    mapping, payload = spec.properties.get("outputSchemaPath"), payload_column(spec)
+    if payload is None:
+        return project(df, load_mapping(spark, mapping))
     schema = infer_schema(spark, spec.properties.get("path"))
-    return extract_json(df, schema, load_mapping(spark, spec.properties.get("outputSchemaPath")))
+    return extract_json(df, schema, load_mapping(spark, mapping), payload)
 
 
 def _csv(spark: SparkSession, df: DataFrame, spec: JobSpec) -> DataFrame:
     if not spec.input_schema:
         raise ValueError("the csv processor needs a declared input schema")
-    mapping = load_mapping(spark, spec.properties.get("outputSchemaPath"))
-    return extract_csv(df, build_schema(spec.input_schema), mapping)
+    mapping, payload = load_mapping(spark, spec.properties.get("outputSchemaPath")), payload_column(spec)
+    if payload is None:
+        return project(df, mapping)
+    fields = spec.properties.get("payloadSchema") or spec.input_schema
+    return extract_csv(df, build_schema(fields), mapping, payload)
 
 
 def _paths(spark: SparkSession, df: DataFrame, spec: JobSpec) -> DataFrame:
     options = dict(spec.properties)
+    options.setdefault("value", options.pop("payload", None) or "value")
     if not options.get("templates"):
         raise ValueError("the paths processor needs templates")
     templates = [t if isinstance(t, str) else tuple(t) for t in options.pop("templates")]
@@ -117,7 +134,12 @@ def run(
     """Start the job and return its running query."""
     spec = spec if isinstance(spec, JobSpec) else JobSpec.from_dict(spec)
     processed = process(spark, read_source(spark, spec), spec)
+    return sink_writer(processed, spec, trigger).start()
+
+
+def sink_writer(df: DataFrame, spec: JobSpec, trigger: Mapping[str, object] | None = None) -> DataStreamWriter:
+    """The writer of the job's sink; for Kafka, ``metaData`` may name the columns of the key."""
     options = dict(spec.sink.options)
     if spec.sink.path:
         options.setdefault("path", spec.sink.path)
-    return write_stream(processed, spec.sink.name, options, trigger).start()
+    return write_stream(df, spec.sink.name, options, trigger, spec.sink.key)

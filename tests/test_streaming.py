@@ -2,10 +2,10 @@ import json
 
 import pytest
 
-from pathloom import JobSpec, extract_json, flatten_paths, read_csv, read_json, read_parquet, read_stream, run, write_stream
+from pathloom import JobSpec, extract_json, flatten_paths, pack_rows, read_csv, read_json, read_parquet, read_stream, run, unpack_rows, write_stream, write_with_rejects
 from pathloom.functions.types import build_schema
 from pathloom.sources import readers
-from pathloom.streaming.job import process, read_source
+from pathloom.streaming.job import process, read_source, sink_writer
 from pathloom.streaming.sinks import DEFAULT_TRIGGER
 
 ONCE = {"availableNow": True}
@@ -118,18 +118,42 @@ def test_message_sources_pass_options_through(source):
     assert "load" in Session.readStream.calls and "schema" not in Session.readStream.calls
 
 
-def test_kafka_sink_needs_a_value():
-    class Frame:
-        columns = ["key", "value"]
-        writeStream = Recorder()
+class Frame:
+    def __init__(self, *columns):
+        self.columns, self.writeStream = list(columns), Recorder()
 
-    write_stream(Frame, "kafka", {"topic": "t"})
-    calls = Frame.writeStream.calls
+
+def test_kafka_sink_passes_values_on():
+    frame = Frame("key", "value")
+    write_stream(frame, "kafka", {"topic": "t"})
+    calls = frame.writeStream.calls
     assert calls["format"] == ("kafka",) and calls["outputMode"] == ("append",)
     assert calls["options"] == {"topic": "t"} and calls["trigger"] == DEFAULT_TRIGGER == {"processingTime": "10 seconds"}
-    Frame.columns = ["key"]
+
+
+def test_kafka_sink_packs_rows(spark, monkeypatch, tmp_path):
+    """A job of templates whose rows go to a queue: they are packed, by the key that the sink names."""
+    write_messages(tmp_path / "in", "1.txt", record("1", "2"), record("3"))
+    spec = JobSpec.from_dict(
+        job(
+            {"type": "paths", "properties": {"templates": TEMPLATES}},
+            {"writer": "text", "confProperties": {"path": str(tmp_path / "in")}},
+            {"writer": "kafka", "confProperties": {"topic": "t"}, "metaData": {"key": "A, Count"}},
+        )
+    )
+    seen = {}
+    monkeypatch.setattr("pathloom.streaming.sinks.pack_rows", lambda df, key: seen.update(df=df, key=list(key)) or Frame("key", "value"))
+    sink_writer(process(spark, read_source(spark, spec), spec), spec)
+    assert seen["key"] == ["A", "Count"] and seen["df"].isStreaming
+    rows = flatten_paths(spark.read.text(str(tmp_path / "in")), TEMPLATES)
+    packed = pack_rows(rows, ["A", "Count"])
+    assert packed.columns == ["key", "value"] and {json.loads(r.key)["A"] for r in packed.collect()} == {"1", "2", "3"}
+    assert sorted(unpack_rows(packed, rows.schema).collect()) == sorted(rows.collect())
+    assert {r.key for r in pack_rows(rows, ["A"]).collect()} == {"1", "2", "3"} and {r.key for r in pack_rows(rows).collect()} == {None}
+    typed = spark.createDataFrame([(1, None, "x y")], "a int, `b.c` string, d string")
+    assert json.loads(pack_rows(typed).first().value) == {"a": 1, "b.c": None, "d": "x y"}
     with pytest.raises(ValueError):
-        write_stream(Frame, "kafka", {})
+        pack_rows(rows, ["nope"])
 
 
 def test_bad_sources_and_sinks(spark, tmp_path):
@@ -165,14 +189,40 @@ def test_batch_readers(spark, tmp_path):
     assert "kafka" in readers.STREAM_SOURCES
 
 
+@pytest.mark.parametrize("kind", ["json", "csv"])
+def test_source_tells_messages_from_typed_rows(spark, tmp_path, kind):
+    """Not the names of columns: a typed column may be called value, a payload may not."""
+    (tmp_path / "columns.csv").write_text("id,value,string\n")
+    (tmp_path / "sample.json").write_text('{"value": "x"}')
+    properties = {"outputSchemaPath": str(tmp_path / "columns.csv"), "path": str(tmp_path / "sample.json")}
+    text = {"json": '{"value": "a,b"}', "csv": '"a,b"'}[kind]
+    for source, payload, column, wanted in (("parquet", None, "value", text), ("text", None, "value", "a,b"), ("parquet", "body", "body", "a,b"), ("kafka", "key", "key", "a,b")):
+        spec = job({"type": kind, "properties": {**properties, **({"payload": payload} if payload else {})}}, {"writer": source}, {"writer": "console"}, inputSchema=[{"value": "string"}])
+        df = spark.createDataFrame([(text,)], f"{column} string")
+        assert [tuple(r) for r in process(spark, df, JobSpec.from_dict(spec)).collect()] == [(wanted,)]
+
+
 def test_json_job_over_rows_the_source_has_typed(spark, tmp_path):
     mapping = tmp_path / "columns.csv"
     mapping.write_text("id,order.id,int\n")
-    job = {
-        "appName": "typed",
-        "dataProcessor": {"type": "json", "properties": {"outputSchemaPath": str(mapping)}},
-        "inputProperties": {"writer": "json"},
-        "writerProperties": {"writer": "console"},
-    }
+    spec = job({"type": "json", "properties": {"outputSchemaPath": str(mapping)}}, {"writer": "json"}, {"writer": "console"})
     df = spark.createDataFrame([(("7",),)], "order struct<id string>")
-    assert [tuple(r) for r in process(spark, df, JobSpec.from_dict(job)).collect()] == [(7,)]
+    assert [tuple(r) for r in process(spark, df, JobSpec.from_dict(spec)).collect()] == [(7,)]
+
+
+def test_stream_of_rejects_restarts_without_repeats(spark, tmp_path):
+    write_messages(tmp_path / "in", "1.txt", {"k": 1}, {"k": "x"}, [{"k": 2}])
+    places = str(tmp_path / "rows"), str(tmp_path / "bad")
+
+    def once():
+        stream = read_stream(spark, "text", path=str(tmp_path / "in"))
+        tagged = extract_json(stream, build_schema([("k", "long")]), [("k", "k", "long")], rejects="why")
+        write_with_rejects(tagged, "why", *places, trigger=ONCE, checkpoint=str(tmp_path / "progress")).start().awaitTermination()
+        return [sorted((r[0] for r in read_parquet(spark, p).collect()), key=repr) for p in places]
+
+    bad = ['[{"k": 2}]', '{"k": "x"}']
+    assert once() == once() == [[1, None, None], sorted(bad, key=repr)]
+    write_messages(tmp_path / "in", "2.txt", {"k": 3}, 7)
+    assert once() == [[1, 3, None, None, None], sorted([*bad, "7"], key=repr)]
+    with pytest.raises(ValueError):
+        write_with_rejects(read_stream(spark, "text", path=str(tmp_path / "in")), "value", *places)

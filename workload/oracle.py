@@ -9,6 +9,13 @@ SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
        CAST(json_extract_string(props, '$.k') AS DECIMAL(10,2)) AS k_decimal
 FROM events
 """
+_REJECTS = """
+SELECT event_id, CAST(CASE WHEN event_type NOT IN ('error', 'click', 'purchase') THEN json_extract_string(props, '$.k') END AS INTEGER) AS k,
+       CAST(NULL AS VARCHAR) AS unread FROM events
+UNION ALL
+SELECT event_id, NULL, CASE event_type WHEN 'error' THEN left(props, length(props) - 1) ELSE '[' || props || ']' END
+FROM events WHERE event_type IN ('error', 'purchase')
+"""
 _PARTS = "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part"
 
 # One row per order line, or per order without lines, with the keys of its message.
@@ -140,15 +147,41 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT event_id, '2', event_type, NULL FROM events""",
     "flatten_odd_records": """
         WITH shapes(kind, item, leaf) AS (VALUES (0, '1', 'key'), (0, '2', 'b'), (1, '1', 'a'), (2, '1', NULL), (4, '1', 'b'),
-          (5, '1', '12345678901234567890123456789012345678'), (6, '1', 'c'))
+          (5, '1', '12345678901234567890123456789012345678'), (6, '1', 'c'), (8, '1', '{"a":1}'), (9, '1', '["~\\"",{"k":"{}"}]'), (9, '3', '~x\\'))
         SELECT event_id, strategy, item AS "Entry", CASE leaf WHEN 'key' THEN event_type ELSE leaf END AS "X"
-        FROM events JOIN shapes ON event_id % 8 = kind, (VALUES ('auto'), ('variant'), ('path_map')) AS s(strategy)""",
+        FROM events JOIN shapes ON event_id % 10 = kind, (VALUES ('auto'), ('variant'), ('path_map')) AS s(strategy)""",
     "flatten_half_flat": """
         SELECT event_id, 'e1' AS "Entry", event_type AS "X" FROM events WHERE event_id % 3 < 2""",
     "path_map_deep": """
         SELECT event_id, repeat('a.', 39) || 'a' AS path, event_type AS leaf FROM events
         UNION ALL SELECT event_id, 'p.q', 'second' FROM events
         UNION ALL SELECT event_id, 'r', '2' FROM events WHERE event_id % 2 = 1""",
+    "extract_inferred_all": _PROPS,
+    "extract_variant": _PROPS,
+    "extract_case": _PROPS,
+    "extract_rejects": _REJECTS,
+    "stream_rejects": _REJECTS,
+    "cast_losses": """
+        SELECT 'brand' AS output, CAST(0 AS BIGINT) AS lost
+        UNION ALL SELECT 'kind', count(*) FILTER (p_type IS NOT NULL AND TRY_CAST(p_type AS DATE) IS NULL) FROM part
+        UNION ALL SELECT 'name', count(*) FILTER (p_name IS NOT NULL AND TRY_CAST(p_name AS INTEGER) IS NULL) FROM part
+        UNION ALL SELECT 'price', count(*) FILTER (p_retailprice IS NOT NULL AND TRY_CAST(p_retailprice AS INTEGER) IS NULL) FROM part""",
+    "flatten_split": _STACK,
+    "flatten_keep_absent": """
+        SELECT doc_id, s.source AS "Feed", lang AS "Lang", CASE WHEN d.source = s.source THEN CAST(n_chars AS VARCHAR) END AS "Chars"
+        FROM documents d, (SELECT DISTINCT source FROM documents WHERE source IS NOT NULL) s""",
+    "flatten_aliases": f"""
+        WITH {_ORDERS}
+        SELECT {_ID}, o AS order_key, l AS line_number, flag, qty AS amount FROM items WHERE l IS NOT NULL""",
+    "flatten_root": _LINES,
+    "flatten_positions": f"""
+        WITH {_ORDERS}
+        SELECT {_ID}, o AS "Order", l AS "Line", flag AS "Flag", qty AS "Qty",
+               CAST(row_number() OVER (PARTITION BY {_ID} ORDER BY o, l) - 1 AS INTEGER) AS place
+        FROM items WHERE l IS NOT NULL""",
+    "stream_json_job": "SELECT * EXCLUDE (event_id) FROM (" + _PROPS + ")",
+    "stream_paths_job": _LINES,
+    "pack_roundtrip": _LINES,
     "stream_extract": _PROPS,
     "stream_csv": _PARTS,
     "stream_flatten": _LINES,

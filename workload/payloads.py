@@ -37,7 +37,6 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = (
         table(spark, sf_dir, "lineitem")
         .withColumn("line_block", F.expr(f"l_linenumber div {LINE_BLOCK}"))
-        .repartition("l_orderkey", "line_block")  # one shuffle for both sums; a hot order's blocks go to many tasks
         .groupBy("l_orderkey", "line_block", "l_linenumber")
         .agg(F.sum("l_quantity").cast("bigint").alias("qty"), F.max("l_returnflag").alias("flag"))
         .groupBy("l_orderkey", "line_block")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,15 +15,19 @@ from pathloom import (
     extract_json,
     flatten_groups,
     flatten_paths,
+    infer_all,
     infer_schema,
     load_mapping,
+    pack_rows,
     path_map,
     prune_paths,
     read_csv,
     read_parquet,
     read_stream,
     run,
+    unpack_rows,
     write_stream,
+    write_with_rejects,
 )
 from pathloom.operators.extract import parse_csv, parse_json, project
 from workload import payloads
@@ -80,6 +84,55 @@ def extract_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_json(messages, PROPS_SCHEMA, PROPS_MAPPING, keep=["event_id"])
 
 
+def extract_inferred_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schema is merged from all messages, in one pass."""
+    messages = payloads.event_messages(spark, sf_dir)
+    return extract_json(messages, infer_all(messages), PROPS_MAPPING, keep=["event_id"])
+
+
+def extract_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads that come as variants."""
+    messages = payloads.table(spark, sf_dir, "events").select("event_id", F.parse_json("props").alias("value"))
+    return extract_json(messages, PROPS_SCHEMA, PROPS_MAPPING, keep=["event_id"])
+
+
+def extract_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths in another case than the message's, as the session finds columns."""
+    mapping = [(name, path.upper(), type_name) for name, path, type_name in PROPS_MAPPING]
+    return extract_json(payloads.event_messages(spark, sf_dir), PROPS_SCHEMA, mapping, keep=["event_id"])
+
+
+def extract_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Malformed messages with their text, kept apart from the rows of all messages, both written from one parse."""
+    messages = payloads.damaged_event_messages(spark, sf_dir)
+    tagged = extract_json(messages, PROPS_SCHEMA, PROPS_MAPPING, keep=["event_id"], rejects="unread")
+    rows, rejects = shared_folder(spark, "rows"), shared_folder(spark, "rejects")
+    write_with_rejects(tagged, "unread", rows, rejects, keep=["event_id"])
+    read = read_parquet(spark, rows).select("event_id", "k", F.lit(None).cast("string").alias("unread"))
+    return read.unionByName(read_parquet(spark, rejects).select("event_id", F.lit(None).cast("int").alias("k"), "unread"))
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``extract_rejects`` from a file stream, by one micro-batch writer with two targets."""
+    source, rows, rejects = (shared_folder(spark, n) for n in ("damaged", "rows", "rejects"))
+    payloads.damaged_event_messages(spark, sf_dir).write.parquet(source)
+    messages = read_stream(spark, "parquet", path=source, schema=read_parquet(spark, source).schema)
+    tagged = extract_json(messages, PROPS_SCHEMA, PROPS_MAPPING, keep=["event_id"], rejects="unread")
+    writer = write_with_rejects(tagged, "unread", rows, rejects, ["event_id"], {"availableNow": True}, rows + "-progress")
+    writer.start().awaitTermination()
+    read = read_parquet(spark, rows).select("event_id", "k", F.lit(None).cast("string").alias("unread"))
+    return read.unionByName(read_parquet(spark, rejects).select("event_id", F.lit(None).cast("int").alias("k"), "unread"))
+
+
+def cast_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many values each cast could not read, counted while the rows are written."""
+    part = payloads.table(spark, sf_dir, "part").withColumn("p_retailprice", F.col("p_retailprice").cast("string"))
+    mapping = [("price", "p_retailprice", "int"), ("name", "p_name", "int"), ("brand", "p_brand", "string"), ("kind", "p_type", "date")]
+    lost = Observation("lost")
+    project(part, mapping, observe=lost).write.parquet(shared_folder(spark, "parts"))
+    return spark.createDataFrame(sorted(lost.get.items()), "output string, lost long")
+
+
 def star_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = build_schema([("k", "long"), {"missing": "String"}])
     return parse_json(payloads.event_messages(spark, sf_dir), schema, keep=["event_id"])
@@ -231,14 +284,46 @@ def flatten_stack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flatten_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The groups as DataFrames of their own, aligned and put together afterwards."""
-    messages = payloads.order_messages(spark, sf_dir)
-    first, *others = flatten_groups(messages, [*PROFILE_FIELDS, *SALES_FIELDS], keep=KEYS)
+    """The groups put together again, from one scan and one parse."""
+    return flatten_groups(payloads.order_messages(spark, sf_dir), [*PROFILE_FIELDS, *SALES_FIELDS], keep=KEYS).union()
+
+
+def flatten_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The groups stored as tables of their own from one scan, then aligned and put together."""
+    groups = flatten_groups(payloads.order_messages(spark, sf_dir), [*PROFILE_FIELDS, *SALES_FIELDS], keep=KEYS)
+    first, *others = groups.store(shared_folder(spark, "groups"))
     for other in others:
         first = first.unionByName(other, allowMissingColumns=True)
     return first
 
 
+def flatten_keep_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with every source of the table, without values where it is another's."""
+    body = F.struct(F.col("lang").alias("Lang"), F.create_map("source", F.struct(F.col("n_chars").alias("Chars"))).alias("Feed"))
+    documents = payloads.table(spark, sf_dir, "documents")
+    messages = documents.select("doc_id", F.to_json(F.struct(F.struct(body.alias("Body")).alias("Document"))).alias("value"))
+    templates = ["Document.Body.Lang", "Document.Body.Feed.{i}.Chars"]
+    return flatten_paths(messages, templates, keep=["doc_id"], ids="any", keep_absent=True)
+
+
+def flatten_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns named by the templates, and a template that ends in an instance, which names no leaf."""
+    templates = [(LINE_FIELDS[0], "flag"), (LINE_FIELDS[1], "amount"), "Device.Sales.Order.{i}.Line.{i}", "Device.Sales.Order.{i}"]
+    names = {"Device.Sales.Order": "order_key", "Device.Sales.Order.{i}.Line": "line_number"}
+    return flatten_paths(payloads.order_messages(spark, sf_dir), templates, keep=KEYS, id_names=names)
+
+
+def flatten_root(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Templates that start at a sub-tree; its keys hold dots in every other record."""
+    devices = payloads.order_messages(spark, sf_dir).select(*KEYS, F.concat(F.lit('{"store.7":{"tree":'), "value", F.lit("}}")).alias("value"))
+    return flatten_paths(devices, SALES_FIELDS, keep=KEYS, root=["store.7", "tree"])
+
+
+def flatten_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a record in text order of their ids, with their places."""
+    return flatten_paths(payloads.order_messages(spark, sf_dir), LINE_FIELDS, keep=KEYS, ordered=True, position="place")
+
+
 def flatten_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every sentence of every whole text."""
     messages = payloads.document_messages(spark, sf_dir)
@@ -248,7 +333,7 @@ def flatten_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flatten_odd_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records a fast parse would bend or a variant refuse: repeated keys, a scalar among instances, a null or
-    object as leaf, a 38-digit number, single quotes. Every strategy reads them alike."""
+    object as leaf, a 38-digit number, single quotes, strings that look like objects. Every strategy reads them alike."""
     shapes = [
         '{"Device":{"Entry":{"1":{"X":"%s"},"2":{"X":"b"}}},"Z":1,"Z":2}',
         '{"Device":{"Entry":{"Total":3,"1":{"X":"a"}}},"Z":1,"Z":2}',
@@ -258,9 +343,11 @@ def flatten_odd_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         '{"Device":{"Entry":{"1":{"X":12345678901234567890123456789012345678}}}}',
         '{"Device":{"Entry":{"1":{"X":"a","X":"c"}}}}',
         "{'Device':{'Entry':{'1':{'X':'a'}}}}",
+        r'{"Device":{"Entry":{"1":{"X":"{\"a\":1}"}}},"Z":1,"Z":2}',
+        r'{"Device":{"Entry":{"1":{"X":["~\"",{"k":"{}"}]},"~2":{"X":1},"3":{"X":"~x\\"}}},"Z":"}","Z":2}',
     ]
     events = payloads.table(spark, sf_dir, "events")
-    texts = F.element_at(F.array(*[F.lit(s) for s in shapes]), (F.pmod("event_id", F.lit(8)) + 1).cast("int"))
+    texts = F.element_at(F.array(*[F.lit(s) for s in shapes]), (F.pmod("event_id", F.lit(len(shapes))) + 1).cast("int"))
     messages = events.select("event_id", F.replace(texts, F.lit("%s"), F.col("event_type")).alias("value"))
     found = [
         flatten_paths(messages, ["Device.Entry.{i}.X"], keep=["event_id"], strategy=s).withColumn("strategy", F.lit(s))
@@ -344,6 +431,40 @@ def stream_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finish(spark, flatten_paths(messages, SALES_FIELDS, keep=KEYS))
 
 
+def stream_json_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A declared job: text file stream of JSON messages, schema by a sample, output columns, Parquet sink."""
+    source, sample, mapping, target = (shared_folder(spark, n) for n in ("props", "sample", "mapping", "out"))
+    payloads.table(spark, sf_dir, "events").select("props").write.text(source)
+    spark.createDataFrame([('{"k": 1}',)], "value string").coalesce(1).write.text(sample)
+    spark.createDataFrame(PROPS_MAPPING, "name string, path string, type string").coalesce(1).write.csv(mapping)
+    processor = {"type": "json", "properties": {"path": sample, "outputSchemaPath": mapping}}
+    return _run_job(spark, "props", processor, {"writer": "text", "confProperties": {}, "metaData": {"path": source}}, target)
+
+
+def stream_paths_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A declared job: messages in a column of a Parquet stream, flattened by templates."""
+    source, target = shared_folder(spark, "messages"), shared_folder(spark, "out")
+    messages = payloads.order_messages(spark, sf_dir).select(*KEYS, F.col("value").alias("message"))
+    messages.write.parquet(source)
+    processor = {"type": "paths", "properties": {"templates": SALES_FIELDS, "keep": KEYS, "payload": "message"}}
+    fields = [{f.name: {"bigint": "long"}.get(f.dataType.simpleString(), f.dataType.simpleString())} for f in messages.schema]
+    return _run_job(spark, "paths", processor, {"writer": "parquet", "confProperties": {}, "metaData": {"path": source}}, target, fields)
+
+
+def _run_job(spark: SparkSession, name: str, processor: dict, source: dict, target: str, fields: list | None = None) -> DataFrame:
+    sink = {"writer": "parquet", "confProperties": {"path": target, "checkpointLocation": target + "-progress"}}
+    spec = {"appName": name, "inputSchema": fields or [], "dataProcessor": processor, "inputProperties": source, "writerProperties": sink}
+    run(spark, spec, trigger={"availableNow": True}).awaitTermination()
+    return read_parquet(spark, target)
+
+
+def pack_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flattened rows made messages of for a queue, and read back from them."""
+    rows = flatten_paths(payloads.order_messages(spark, sf_dir), SALES_FIELDS, keep=KEYS)
+    packed = pack_rows(rows, key=["customer"])
+    return unpack_rows(packed.where("key IS NOT NULL"), rows.schema)
+
+
 def _finish(spark: SparkSession, stream: DataFrame) -> DataFrame:
     target = shared_folder(spark, "stream-out")
     options = {"path": target, "checkpointLocation": target + "-progress"}
@@ -356,7 +477,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for query in (
         extract_props,
         extract_inferred,
+        extract_inferred_all,
         extract_malformed,
+        extract_rejects,
+        extract_variant,
+        extract_case,
+        cast_losses,
         star_expand,
         cast_types,
         cast_bad_text,
@@ -378,6 +504,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         flatten_any_ids,
         flatten_stack,
         flatten_union,
+        flatten_split,
+        flatten_keep_absent,
+        flatten_aliases,
+        flatten_root,
+        flatten_positions,
         flatten_documents,
         flatten_mixed_shapes,
         flatten_odd_records,
@@ -386,5 +517,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_extract,
         stream_csv,
         stream_flatten,
+        stream_json_job,
+        stream_paths_job,
+        stream_rejects,
+        pack_roundtrip,
     )
 }
