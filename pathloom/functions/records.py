@@ -219,7 +219,7 @@ class VariantRecord:
 class PathRecord:
     """Reads records held as an array of ``(ids, template, text)``, made from a path map.
 
-    Sorting by ids puts the leaves of an instance side by side, so a record is taken apart
+    Wanted keys are found by one walk of the trie of the templates. Sorting by ids puts the leaves of an instance side by side, so a record is taken apart
     instance by instance instead of searching the whole map for every value.
     """
 
@@ -230,7 +230,7 @@ class PathRecord:
 
     def node(self, path_map: str) -> str:
         """Root node of a path map."""
-        wanted = sql_text("|".join(template_regex(t, self.id_pattern) for t in self.templates))
+        wanted = sql_text(trie_regex(self.templates, self.id_pattern))
         pruned = higher_order("filter", f"map_entries({path_map})", lambda e: f"{e}.key RLIKE {wanted}")
         of_each = lambda items: ", ".join(self._matches(items, t) for t in self.templates)
         items = let(pruned, lambda leaves: f"sort_array(flatten(array({of_each(leaves)})))", _ITEMS)
@@ -296,5 +296,26 @@ def template_regex(template: Template, id_pattern: str) -> str:
     return "^" + "[.]".join(parts) + "$"
 
 
+def trie_regex(templates: Iterable[Template], id_pattern: str) -> str:
+    """As ``template_regex`` for any of the templates, as a trie: parts that several begin with are matched once."""
+    trie: dict = {}
+    for template in templates:
+        node = trie
+        for part in template.path.split("."):
+            node = node.setdefault(part, {})
+        node[None] = {}
+
+    def ways_from(node: dict, first: bool) -> str:
+        ways = []
+        for part, child in node.items():
+            if part is None:  # a template ends here
+                ways.append("")
+            else:
+                ways.append(("" if first else "[.]") + (id_pattern if part == MARK else _literal(part)) + ways_from(child, False))
+        return ways[0] if len(ways) == 1 else f"(?:{'|'.join(ways)})"
+
+    return f"^{ways_from(trie, True)}$"
+
+
 def _literal(text: str) -> str:
     return "".join(c if c.isalnum() or c in "_ " else f"\\{c}" if c in "^\\[]&" else f"[{c}]" for c in text)

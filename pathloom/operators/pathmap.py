@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pathloom.functions.records import OBJECT, STRICT_JSON, higher_order, json_path, may_be_rewritten, template_regex
+from pathloom.functions.records import OBJECT, STRICT_JSON, higher_order, json_path, may_be_rewritten, trie_regex
 from pathloom.plans.templates import TemplateSpec, normalise
 
 ID_PATTERNS = {"numeric": "[0-9]+", "any": "[^.]+"}
@@ -170,5 +170,5 @@ def prune_paths(
     paths: Column, templates: Iterable[TemplateSpec], ids: str = "numeric"
 ) -> Column:
     """The part of a path map that any of the templates asks for."""
-    wanted = "|".join(template_regex(t, ID_PATTERNS[ids]) for t in normalise(templates))
+    wanted = trie_regex(normalise(templates), ID_PATTERNS[ids])
     return F.map_filter(paths, lambda key, _: key.rlike(wanted))

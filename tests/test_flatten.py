@@ -9,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from pathloom import flatten_groups, flatten_paths, path_map, prune_paths
+from pathloom.functions.records import template_regex, trie_regex
 from pathloom.operators.flatten import STRATEGIES
-from pathloom.plans.templates import plan_groups
+from pathloom.plans.templates import normalise, plan_groups
 
 PEN = "Device.Farm.Yard.Pen.{i}."
 COW = PEN + "Cow.{i}."
@@ -257,6 +258,26 @@ def test_flat_keys(spark):
     )
 
 
+@pytest.mark.parametrize("ids", ["numeric", "any"])
+def test_plain_parts_where_others_have_ids(spark, ids):
+    """A.b and A.7 beside A.{i}: a part is an id or a name by the template, and a key may be of two templates."""
+    record = {"A": {"b": "scalar", "7": "seven", "1": {"x": "p", "b": {"u": "q"}}, "b-": {"x": "r"}}}
+    flat_record = {"A.b": "scalar", "A.7": "seven", "A.1.x": "p", "A.1.b.u": "q", "A.b-.x": "r"}
+    templates = ["A.b", ("A.7", "seven"), "A.{i}.x", "A.{i}.b.u"]
+    wanted = [("1", "scalar", "seven", "q", "p")] + ([("b-", "scalar", "seven", None, "r")] if ids == "any" else [])
+    for df, options in ((frame(spark, record), {"strategy": s}) for s in STRATEGIES):
+        assert rows_of(flatten_paths(df, templates, ids=ids, **options)) == expected(["A", "b", "seven", "u", "x"], *wanted)
+    assert rows_of(flatten_paths(frame(spark, flat_record), templates, ids=ids, layout="flat")) == expected(["A", "b", "seven", "u", "x"], *wanted)
+
+
+def test_trie_of_templates():
+    templates = normalise(["A.b", "A.b.c", "A.{i}.x", "A.{i}.B.{i}.u", "A.{i}.B.{i}.w", "Z"])
+    trie = trie_regex(templates, "[0-9]+")
+    keys = ["A.b", "A.b.c", "A.1.x", "A.1.B.22.u", "A.1.B.2.w", "Z", "A", "A.1.B.2", "A.1.x.y", "Ab", "A.x.x", "A.b.", ""]
+    assert [bool(re.search(trie, k)) for k in keys] == [any(re.search(template_regex(t, "[0-9]+"), k) for t in templates) for k in keys]
+    assert trie.count("B") == 1  # what templates share is written once
+
+
 def test_flat_keys_with_odd_values(spark):
     values = ['"t"', "1", "1.50", "123456789.5", "null", '{"x": 1}', "{}", '"{\\"x\\": 1}"', "[1, 2.5]", "true", '"2.50"']
     texts = ['{"R.s.A.%d.v": %s, "R.s.n": 7}' % (n, v) for n, v in enumerate(values)]
@@ -427,12 +448,14 @@ def test_positions(spark, strategy):
         flatten_paths(frame(spark, "{}"), ["R.s.A.{i}.v"], position="v")
 
 
-@pytest.mark.parametrize("text", ['{"R":{"s":{"A":{"1":{"v":%s}}}}}' % v for v in ("null", "1.50", "[1]", '{"a":1}', "1e3", "1" * 40, '"NaN"', "true", '"null"', " null ")]
-                         + ['{"R":{"s":{"A":{"1":{"\\u0076":%s}}}}}' % v for v in ("null", "1.50", '"x"')])
-def test_odd_leaves_are_noticed(spark, text):
+def test_odd_leaves_are_noticed(spark):
     """The scan of the text notices whatever the fast parse would bend, escaped keys too."""
-    found = [rows_of(flatten_paths(frame(spark, text), ["R.s.A.{i}.v"], strategy=s)) for s in STRATEGIES]
-    assert found[0] == found[1] == found[2]
+    leaves = ["null", "1.50", "[1]", '{"a":1}', "1e3", "1" * 40, '"NaN"', "true", '"null"', " null "]
+    texts = ['{"R":{"s":{"A":{"1":{"v":%s}}}}}' % v for v in leaves]
+    texts += ['{"R":{"s":{"A":{"1":{"\\u0076":%s}}}}}' % v for v in ("null", "1.50", '"x"')]
+    texts += ['{"R":{"s":{"A":{"1":{"v":"a"},"1":{"v":"b"},"2":{"v":"c"}}}}}']
+    found = [rows_of(flatten_paths(frame(spark, *texts), ["R.s.A.{i}.v"], keep=["n"], strategy=s)) for s in STRATEGIES]
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(texts) - 1 + 1
 
 
 # Random records against the rules in plain Python, one group at a time.
