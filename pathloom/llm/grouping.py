@@ -18,7 +18,7 @@ row is without salt.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -84,23 +84,26 @@ class Sets:
                 yield pa.RecordBatch.from_arrays([batch.column("x"), batch.column("y")], ["x", "y"]).filter(pa.array(ok))
 
         pairs = written(pairs.select("x", "y"), "pairs")
+        asked = pairs.groupBy("y").agg(F.count(F.lit(1)).alias("c"))
         x = self.rows.select(F.col("row").alias("x"), F.col("n").alias("nx"), F.col("shingles").alias("sx"))
         y = self.rows.select(F.col("row").alias("y"), F.col("n").alias("ny"), F.col("shingles").alias("sy"))
-        return map_arrow(salted_join(pairs.join(x, "x"), y, ["y"], "x", counted=pairs), work, "x long, y long")
+        y = written(y.join(asked, "y"), "asked-sets")
+        return map_arrow(salted_join(pairs.join(x, "x"), y, ["y"], "x"), work, "x long, y long")
 
 
 def _distinct_signatures(index: DataFrame) -> DataFrame:
     """sig, row, n, hub, w of signatures that two rows or more have, one for all of the same rows; w tells how many it stands for."""
-    shared = index.groupBy("sig").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("row", "n")).alias("hub"), F.bit_xor(F.xxhash64("row")).alias("rows")).where("c > 1")
+    shared = index.groupBy("sig").agg(F.count(F.lit(1)).alias("c"), F.min("row").alias("hub"), F.bit_xor(F.xxhash64("row")).alias("rows")).where("c > 1")
     kept = shared.groupBy("hub", "c", "rows").agg(F.min("sig").alias("sig"), F.count(F.lit(1)).alias("w"))
-    return salted_join(index, written(kept.select("sig", "hub", "w"), "signatures"), ["sig"], "row")
+    return salted_join(index, written(kept.select("sig", "hub", "w", "c"), "signatures"), ["sig"], "row")
 
 
-def _stars(index: DataFrame, sets: Sets) -> DataFrame:
+def _stars(index: DataFrame, candidates: DataFrame, sets: Sets) -> DataFrame:
     """For each row the one it shares most signatures with, among the smallest rows of its signatures."""
-    stars = index.select("row", "n", F.col("hub.row").alias("y"), F.col("hub.n").alias("m"), "w").where(f"row <> y AND {sets.may_link}")
-    stars = stars.groupBy("row", "y").agg(F.sum("w").alias("c"))
-    return stars.groupBy(F.col("row").alias("x")).agg(F.max(F.struct("c", (-F.col("y")).alias("y"))).alias("best")).select("x", (-F.col("best.y")).alias("y"))
+    stars = written(index.where("row <> hub").groupBy("row", "n", "hub").agg(F.sum("w").alias("w")), "stars")
+    hubs = stars.groupBy("hub").agg(F.count(F.lit(1)).alias("c")).join(candidates.select(F.col("row").alias("hub"), F.col("n").alias("m")), "hub")
+    stars = salted_join(stars, written(hubs, "hubs"), ["hub"], "row").where(sets.may_link)
+    return stars.groupBy(F.col("row").alias("x")).agg(F.max(F.struct("w", (-F.col("hub")).alias("y"))).alias("best")).select("x", (-F.col("best.y")).alias("y"))
 
 
 def _open(index: DataFrame, label: DataFrame) -> tuple[DataFrame, int]:
@@ -109,7 +112,7 @@ def _open(index: DataFrame, label: DataFrame) -> tuple[DataFrame, int]:
     placed = written(placed.select("sig", "row", "n", F.coalesce("label", "row").alias("label")), "placed-index")
     sizes = placed.groupBy("sig", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("sig")
     sizes = sizes.agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.max(F.struct("c", "label")).alias("largest"))
-    mixed = sizes.where("squares < c * c").select("sig", F.col("largest.label").alias("largest"), ((F.col("c") * F.col("c") - F.col("squares")) / 2).alias("pairs"))
+    mixed = sizes.where("squares < c * c").select("sig", "c", F.col("largest.label").alias("largest"), ((F.col("c") * F.col("c") - F.col("squares")) / 2).alias("pairs"))
     mixed = written(mixed, "open-signatures")
     pairs = mixed.agg(F.sum("pairs")).first()[0] or 0
     return written(salted_join(placed, mixed.drop("pairs"), ["sig"], "row"), "open-index"), int(pairs)
@@ -118,20 +121,37 @@ def _open(index: DataFrame, label: DataFrame) -> tuple[DataFrame, int]:
 def _towards_largest(open_index: DataFrame, sets: Sets, number: int) -> DataFrame:
     """For each row outside the largest class of a signature a few members of that class, others every round."""
     draw = F.xxhash64("row", "sig", F.lit(number))
-    member = open_index.where("label = largest").groupBy("sig").agg(F.min(F.struct(draw.alias("h"), F.col("row").alias("y"), F.col("n").alias("m"))).alias("p"))
-    pairs = salted_join(written(open_index.where("label <> largest").select("sig", "row", "n"), "outside"), member, ["sig"], "row")
+    of_largest = F.when(F.col("label") == F.col("largest"), F.struct(draw.alias("h"), F.col("row").alias("y"), F.col("n").alias("m")))
+    member = open_index.groupBy("sig").agg(F.min(of_largest).alias("p"), F.count_if(F.col("label") != F.col("largest")).alias("c"))
+    outside = open_index.where("label <> largest").select("sig", "row", "n")
+    pairs = salted_join(outside, written(member, "members"), ["sig"], "row")
     pairs = pairs.select(F.col("row").alias("x"), "n", F.col("p.y").alias("y"), F.col("p.m").alias("m")).where(sets.may_link)
     counted = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("c"))
     some = counted.groupBy("x").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("c")).alias("c"), F.xxhash64("y", F.lit(number)).alias("h"), "y"))), 1, TRIES).alias("some"))
     return some.select("x", F.explode("some.y").alias("y"))
 
 
-def _met(rows: DataFrame, open_index: DataFrame) -> DataFrame:
+def _met(rows: DataFrame) -> DataFrame:
     """Every row once for each two blocks (lo, hi) in which it meets others: its own, and each that shares a signature with its own."""
-    touched = open_index.select("sig", "row").join(rows.where("cuts > 1").select("row", "cluster", "i"), "row").select("cluster", "sig", "i").distinct()
-    touched = written(touched, "touched-blocks")
-    two = touched.withColumnRenamed("i", "lo").join(touched.withColumnRenamed("i", "hi"), ["cluster", "sig"]).where("lo < hi").select("cluster", "lo", "hi").distinct()
-    two = written(two, "block-pairs")
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:  # each signature of a block once a batch
+            size = np.diff(batch.column("sigs").offsets.to_numpy())
+            number = np.repeat(np.arange(batch.num_rows), size)
+            columns = [batch.column(c).to_numpy()[number] for c in ("cluster", "i")]
+            sig = batch.column("sigs").flatten().to_numpy()
+            order = np.lexsort((sig, columns[1], columns[0]))
+            cells = [x[order] for x in (*columns, sig)]
+            new = np.ones(len(sig), dtype=bool)
+            if len(sig):
+                new[1:] = np.any([x[1:] != x[:-1] for x in cells], axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(x[new]) for x in cells], ["cluster", "i", "sig"])
+
+    touched = map_arrow(rows.where("cuts > 1").select("cluster", "i", "sigs"), held, "cluster long, i int, sig long")
+    # Many signatures touch the same blocks.
+    blocks = touched.groupBy("cluster", "sig").agg(F.sort_array(F.collect_set("i")).alias("b")).where("size(b) > 1").select("cluster", "b").distinct()
+    two = blocks.select("cluster", F.expr("explode(flatten(transform(b, x -> transform(filter(b, y -> y > x), y -> struct(x AS lo, y AS hi)))))").alias("t"))
+    two = written(two.select("cluster", "t.lo", "t.hi").distinct(), "block-pairs")
     sides = two.select("cluster", F.col("lo").alias("i"), "lo", "hi").union(two.select("cluster", F.col("hi").alias("i"), "lo", "hi"))
     met = rows.join(sides, ["cluster", "i"]).select("cluster", "lo", "hi", "i", "row", "n", "label", "sigs")
     return met.union(rows.select("cluster", F.col("i").alias("lo"), F.col("i").alias("hi"), "i", "row", "n", "label", "sigs"))
@@ -140,12 +160,12 @@ def _met(rows: DataFrame, open_index: DataFrame) -> DataFrame:
 def _resolved(open_index: DataFrame, sets: Sets) -> DataFrame:
     """Links that connect what is left: every pair of a signature's rows is verified unless they are connected by then."""
     percent, width = sets.percent, sets.width
-    least = open_index.groupBy("sig").agg(F.min("row").alias("y"))
+    least = written(open_index.groupBy("sig").agg(F.min("row").alias("y"), F.count(F.lit(1)).alias("c")), "least")
     edges = salted_join(open_index.select("sig", "row"), least, ["sig"], "row").where("row <> y").select(F.col("row").alias("x"), "y").distinct()
     cluster = connect(written(edges, "clusters")).select(F.col("vertex").alias("row"), F.col("label").alias("cluster"))
     rows = open_index.groupBy("row").agg(F.first("label").alias("label"), F.first("n").alias("n"), F.collect_list("sig").alias("sigs"))  # a row's own signatures
     rows = written(rows.join(cluster, "row"), "open-rows")
-    sizes = rows.groupBy("cluster").agg(F.ceil(F.greatest(F.sum("n") / BLOCK_ELEMENTS, F.count(F.lit(1)) / BLOCK_ROWS)).cast("int").alias("cuts"))
+    sizes = rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("c"), F.ceil(F.greatest(F.sum("n") / BLOCK_ELEMENTS, F.count(F.lit(1)) / BLOCK_ROWS)).cast("int").alias("cuts"))
     small = 1 + int((rows.agg(F.sum("n")).first()[0] or 0) / BLOCK_ELEMENTS)
     placed = salted_join(rows, written(sizes, "cluster-sizes"), ["cluster"], "row")
     # Rows of a large cluster stand by the smallest signature they have, and where too many have that one, by themselves.
@@ -202,16 +222,22 @@ def _resolved(open_index: DataFrame, sets: Sets) -> DataFrame:
                     links.append((row[x], row[y]))
         return pd.DataFrame(links, columns=["x", "y"], dtype="int64")
 
-    whole = _met(placed, open_index).join(sets.rows.select("row", "shingles"), "row")
+    whole = _met(placed).join(sets.rows.select("row", "shingles"), "row")
     return whole.groupBy("cluster", "lo", "hi").applyInPandas(work, "x long, y long")
 
 
-def classes(index: DataFrame, sets: Sets) -> DataFrame:
-    """vertex, label of every row that links with another; the label is the smallest row of its class."""
+def classes(index: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, width: int) -> DataFrame:
+    """vertex, label of every row that links with another; the label is the smallest row of its class.
+
+    `index` (sig, row, n) is read twice. `sets_of` gets the rows (row, n) that share a signature with others and
+    gives their sets, as `Sets` holds them; no other set is looked at.
+    """
     index = written(_distinct_signatures(index), "shared-index")
-    links = written(sets.verified(_stars(index, sets)), "links")
+    candidates = written(index.select("row", "n").distinct(), "candidates")
+    sets = Sets(written(sets_of(candidates), "candidate-sets"), percent, width)
+    links = written(sets.verified(_stars(index, candidates, sets)), "links")
     label = connect(links)
-    enough = sets.rows.count()
+    enough = candidates.count()
     open_index, left = _open(index, label)
     for number in range(ROUNDS):
         if left <= 4 * enough:
@@ -233,14 +259,14 @@ def placed_rows(rows: DataFrame, member: DataFrame, label: DataFrame) -> DataFra
     placed = rows.join(member, "row", "left").select("row", "doc_id", "n", F.coalesce("rep", "row").alias("rep"))
     placed = placed.join(label.toDF("rep", "label"), "rep", "left").select("row", "doc_id", "n", F.coalesce("label", "rep").alias("label"))
     placed = written(placed, "placed")
-    least = placed.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+    least = placed.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("c")).where("c > 1")
     together = salted_join(placed, written(least, "classes"), ["label"], "row").select("row", F.col("component_id").alias("least"), F.lit(True).alias("several"))
     out = placed.join(together, "row", "left")
     return out.select("row", "doc_id", "n", F.when(F.col("several"), F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def equal_sets(rows: DataFrame) -> DataFrame:
-    """row, rep of the rows (row, n, a, b) whose whole set, known by n, a and b, another row has, too."""
-    rows = written(rows.select("row", "n", "a", "b"), "fingerprints")
-    same = rows.groupBy("n", "a", "b").agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+    """row, rep of the rows (row, n, a, b) whose whole set, known by n, a and b, another row has, too. `rows` is read twice."""
+    rows = rows.select("row", "n", "a", "b")
+    same = rows.groupBy("n", "a", "b").agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("c")).where("c > 1")
     return written(salted_join(rows, written(same, "equal-sets"), ["n", "a", "b"], "row").select("row", "rep"), "copies")

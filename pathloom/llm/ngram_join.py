@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pathloom.llm import grouping
 from pathloom.llm import text as tx
 from pathloom.llm.grouping import runs
-from pathloom.llm.shared import even_keys, map_arrow, parts, written
+from pathloom.llm.shared import even_keys, map_arrow, only, parts, written
 
 U64 = np.uint64
 WORDS, PERCENT = 5, 80
@@ -286,7 +286,7 @@ def classes(docs: DataFrame) -> DataFrame:
     member = grouping.equal_sets(able)
     reps = able.select("row", "n", "shingles", "df").join(member.where("row <> rep").select("row"), "row", "left_anti")
     index = written(_index(reps), "index")
-    label = grouping.classes(index, grouping.Sets(able.select("row", "n", "shingles"), PERCENT))
+    label = grouping.classes(index, lambda candidates: only(able.select("row", "n", "shingles"), candidates, "row"), PERCENT, 8)
     return grouping.placed_rows(rows.select("row", "doc_id", "n"), member, label).withColumnRenamed("n", "n_shingles")
 
 

@@ -72,29 +72,42 @@ def doc_crc(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary"))
 
 
+def shielded(df: DataFrame, used: set[str]) -> DataFrame:
+    """`df` with plain names for the columns an operator does not use, so that none can clash with its own; `toDF` gives them back."""
+    return df.toDF(*[c if c in used else f"further{i}" for i, c in enumerate(df.columns)])
+
+
 def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
     ship(df.sparkSession)
     return df.mapInArrow(work, schema)
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: str, counted: DataFrame | None = None) -> DataFrame:
+#: Rows of one number each that are broadcast at most: about 64 MB.
+MOST_BROADCAST = 4_000_000
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: str) -> DataFrame:
     """Inner join of `left` with `right`, whose keys are unique, where a few keys may hold most rows of `left`.
 
-    A key with more than its share of rows is dealt to several tasks by a hash of the column `spread`, and its row
-    of `right` goes to each of them. Fewer than 4 keys a partition can be so; these alone are broadcast.
-    `counted` holds the keys of `left` where reading them there costs less.
+    `right` tells in column `c`, which goes, how many rows of `left` a key has, and is read more than once. A key with
+    more than its share is dealt to several tasks by a hash of the column `spread`, and its row of `right` goes to each
+    of them. Fewer than 4 keys a partition can be so; these alone are broadcast.
     """
     spark = left.sparkSession
     fair = 4 * parts(spark)
-    counted = left if counted is None else counted
-    counts = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c"))
-    total = counted.count()
-    hot = counts.where(F.col("__c") * fair > total).withColumn("__salts", F.ceil(F.col("__c") * fair / total).cast("int")).drop("__c")
-    found = [tuple(r) for r in hot.collect()] if total > fair else []
-    if not found:
-        return left.join(right, keys)
-    hot = F.broadcast(spark.createDataFrame(found, hot.schema))
+    total, most = right.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.max("c"), F.lit(0))).first()
+    if most * fair <= total or total <= fair:
+        return left.join(right.drop("c"), keys)
+    hot = right.where(F.col("c") * fair > total).select(*keys, F.ceil(F.col("c") * fair / total).cast("int").alias("__salts"))
+    hot = F.broadcast(spark.createDataFrame([tuple(r) for r in hot.collect()], hot.schema))
     salt = F.coalesce(F.pmod(F.xxhash64(spread), F.col("__salts")).cast("int"), F.lit(0))
     left = left.join(hot, keys, "left").withColumn("__salt", salt).drop("__salts")
-    right = right.join(hot, keys, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1))).drop("__salts")
+    right = right.drop("c").join(hot, keys, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1))).drop("__salts")
     return left.join(right, [*keys, "__salt"]).drop("__salt")
+
+
+def only(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows whose key `ids` has, null included; `ids` is broadcast where it is small enough, and read more than once."""
+    ids = ids.select(F.col(key).alias("__id"))
+    ids = F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
+    return rows.join(ids, rows[key].eqNullSafe(F.col("__id")), "left_semi")

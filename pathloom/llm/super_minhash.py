@@ -8,8 +8,9 @@ than with independent hashes. A set stops early: once every place has an offer b
 
 Bands of ROWS places are hashed; documents that share a band are candidates. A pair at the threshold of
 0.85 is missed with a probability of (1 - 0.85^5)^24, below 1e-6, by independent places. Documents of equal
-sets (by 128 bits) are one. `grouping` verifies candidates on whole sets, of 40 bits a shingle, and groups
-by union-find; no group is written out in pairs and no bucket is cut.
+sets (by 128 bits) are one. Sets are not kept; those of candidates are made again from their texts. `grouping`
+verifies them whole, with 40 bits a shingle, and groups by union-find; no group is written out in pairs and
+no bucket is cut.
 
 Defined results: a null or empty text, or one without words, has an empty set, is linked with nothing and is
 its own class; a text of one or two words is one shingle; repeated rows link with each other; a null doc_id comes
@@ -31,7 +32,7 @@ from pathloom.llm import grouping
 from pathloom.llm import text as tx
 from pathloom.llm.grouping import packed
 from pathloom.llm.ngram_join import shingle_sets
-from pathloom.llm.shared import map_arrow, written
+from pathloom.llm.shared import map_arrow, only, written
 
 U64 = np.uint64
 WORDS, PERCENT = 3, 85
@@ -80,8 +81,13 @@ def bands(signature: np.ndarray) -> np.ndarray:
     return out
 
 
+def _prints(h: np.ndarray, bounds: np.ndarray) -> list[pa.Array]:
+    """Two numbers that stand for every whole set: sums of mixtures of its shingles."""
+    return [pa.array(tx.per_set_sum(tx.mix(h ^ U64(salt)), bounds).view(np.int64)) for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
+
+
 def sketch(docs: DataFrame) -> DataFrame:
-    """row, doc_id, n, a, b (fingerprints of the set), shingles and bands of every document."""
+    """row, doc_id, n, a, b (fingerprints of the set) and bands of every document."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
@@ -89,21 +95,37 @@ def sketch(docs: DataFrame) -> DataFrame:
             for i, j, buf, offsets in tx.groups(batch.column("text")):
                 doc, h = shingle_sets(buf, offsets, WORDS)
                 bounds = np.searchsorted(doc, np.arange(j - i + 1))
-                n = np.diff(bounds)
-                prints = [tx.per_set_sum(tx.mix(h ^ U64(salt)), bounds) for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
                 band = np.zeros((j - i, BANDS), dtype=U64)
-                cut = np.searchsorted(bounds, np.arange(0, len(h) + HELD, HELD))  # sets of about HELD elements together
-                for a, b in zip(cut[:-1].tolist(), np.append(cut[1:-1], j - i).tolist(), strict=True):
+                cut = np.searchsorted(bounds, np.arange(HELD, len(h), HELD)).tolist()  # sets of about HELD elements together
+                for a, b in zip([0, *cut], [*cut, j - i], strict=True):
                     if a < b:
                         s, e = bounds[a], bounds[b]
                         band[a:b] = bands(signatures(doc[s:e] - a, h[s:e], b - a))
-                cells = [packed(h[s:e], WIDTH) for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
                 offered = pa.ListArray.from_arrays(pa.array(np.arange(0, BANDS * (j - i) + 1, BANDS), pa.int32()), pa.array(band.view(np.int64).ravel()))
-                columns = [pa.array(row + np.arange(j - i)), batch.column("doc_id").slice(i, j - i), pa.array(n), *(pa.array(p.view(np.int64)) for p in prints), pa.array(cells, pa.binary()), offered]
+                columns = [pa.array(row + np.arange(j - i)), batch.column("doc_id").slice(i, j - i), pa.array(np.diff(bounds)), *_prints(h, bounds), offered]
                 row += j - i
-                yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "n", "a", "b", "shingles", "bands"])
+                yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "n", "a", "b", "bands"])
+
+    return map_arrow(docs.select("doc_id", "text"), work, "row long, doc_id long, n long, a long, b long, bands array<long>")
+
+
+def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """row, n, shingles (WIDTH bytes each) of the `wanted` rows (row, doc_id, n, a, b), made anew from their texts.
+
+    A text is known by the fingerprints of its set, so it matters neither how rows are numbered nor whether ids repeat.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, buf, offsets in tx.groups(batch.column("text")):
+                doc, h = shingle_sets(buf, offsets, WORDS)
+                bounds = np.searchsorted(doc, np.arange(j - i + 1))
+                cells = [packed(h[s:e], WIDTH) for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.diff(bounds)), *_prints(h, bounds), pa.array(cells, pa.binary())], ["n", "a", "b", "shingles"])
 
-    return map_arrow(docs.select("doc_id", "text"), work, "row long, doc_id long, n long, a long, b long, shingles binary, bands array<long>")
+    texts = only(docs.select("doc_id", "text"), written(wanted.select("doc_id").distinct(), "wanted"), "doc_id")
+    found = map_arrow(texts.select("text"), work, "n long, a long, b long, shingles binary")
+    return found.join(wanted.select("row", "n", "a", "b"), ["n", "a", "b"]).select("row", "n", "shingles").dropDuplicates(["row"])
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -114,9 +136,14 @@ def classes(docs: DataFrame) -> DataFrame:
     copies = member.where("row <> rep").select("row")
     # A set of so few elements that one more is too much links with equal ones alone.
     alone = f"100 * n < {PERCENT} * (n + 1)"
-    reps = able.where(f"NOT {alone}").select("row", "n", "bands").join(copies, "row", "left_anti")
-    index = written(reps.select(F.explode("bands").alias("sig"), "row", "n"), "index")
-    label = grouping.classes(index, grouping.Sets(rows.select("row", "n", "shingles"), PERCENT, WIDTH))
+    reps = written(able.where(f"NOT {alone}").select("row", "n", "bands").join(copies, "row", "left_anti"), "distinct-sets")
+    index = reps.select(F.explode("bands").alias("sig"), "row", "n")
+
+    def sets_of(candidates: DataFrame) -> DataFrame:
+        wanted = only(able.select("row", "doc_id", "n", "a", "b"), candidates, "row")
+        return whole_sets(docs, written(wanted, "wanted-rows"))
+
+    label = grouping.classes(index, sets_of, PERCENT, WIDTH)
     return grouping.placed_rows(rows.select("row", "doc_id", "n"), member, label)
 
 
