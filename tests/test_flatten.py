@@ -261,13 +261,13 @@ def test_flat_keys(spark):
 @pytest.mark.parametrize("ids", ["numeric", "any"])
 def test_plain_parts_where_others_have_ids(spark, ids):
     """A.b and A.7 beside A.{i}: a part is an id or a name by the template, and a key may be of two templates."""
-    record = {"A": {"b": "scalar", "7": "seven", "1": {"x": "p", "b": {"u": "q"}}, "b-": {"x": "r"}}}
-    flat_record = {"A.b": "scalar", "A.7": "seven", "A.1.x": "p", "A.1.b.u": "q", "A.b-.x": "r"}
-    templates = ["A.b", ("A.7", "seven"), "A.{i}.x", "A.{i}.b.u"]
+    record = {"R": {"s": {"A": {"b": "scalar", "7": "seven", "1": {"x": "p", "b": {"u": "q"}}, "b-": {"x": "r"}}}}}
+    flat_record = {f"R.s.A.{k}": v for k, v in {"b": "scalar", "7": "seven", "1.x": "p", "1.b.u": "q", "b-.x": "r"}.items()}
+    templates = ["R.s.A.b", ("R.s.A.7", "seven"), "R.s.A.{i}.x", "R.s.A.{i}.b.u"]
     wanted = [("1", "scalar", "seven", "q", "p")] + ([("b-", "scalar", "seven", None, "r")] if ids == "any" else [])
     for df, options in ((frame(spark, record), {"strategy": s}) for s in STRATEGIES):
-        assert rows_of(flatten_paths(df, templates, ids=ids, **options)) == expected(["A", "b", "seven", "u", "x"], *wanted)
-    assert rows_of(flatten_paths(frame(spark, flat_record), templates, ids=ids, layout="flat")) == expected(["A", "b", "seven", "u", "x"], *wanted)
+        assert rows_of(flatten_paths(df, templates, ids=ids, spine="any", **options)) == expected(["A", "b", "seven", "u", "x"], *wanted)
+    assert rows_of(flatten_paths(frame(spark, flat_record), templates, ids=ids, spine="any", layout="flat")) == expected(["A", "b", "seven", "u", "x"], *wanted)
 
 
 def test_trie_of_templates():
