@@ -244,9 +244,15 @@ class Reader:
 
 
 def discounts(n: list[int]) -> tuple[float, float, float]:
-    """Discounts of counts 1, 2 and more, from how many things have the counts 1, 2, 3 and 4."""
+    """Discounts of counts 1, 2 and more, from how many things have the counts 1, 2, 3 and 4.
+
+    Where counts of counts do not fall, as in small or steep tables, the estimate of a count may be 0 or less and would leave
+    a context nothing for unseen words; absolute discounting takes its place there.
+    """
     y = n[0] / max(n[0] + 2 * n[1], 1)
-    return tuple(min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.0), float(k)) if n[k - 1] else 0.5 * k for k in (1, 2, 3))
+    plain = y if 0 < y < 1 else 0.5
+    found = [k - (k + 1) * y * n[k] / n[k - 1] if n[k - 1] else 0.5 * k for k in (1, 2, 3)]
+    return tuple(min(d, float(k)) if d > 0 else plain for k, d in enumerate(found, 1))
 
 
 def vocabulary(docs: DataFrame, folder: str, folds: int = FOLDS) -> Model:
