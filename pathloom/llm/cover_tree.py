@@ -16,14 +16,16 @@ most promising on; a pair is pruned when
 integers, ties go to the smaller id, and a bound equal to the worst score prunes nothing.
 
 Defined results: vectors that are null or hold a null or non-finite component take no part, nor do empty
-ones; vectors of another length than the first pivot's take no part either; rows of a query's own id are
-no candidates of it; other repeated rows are candidates each; fewer candidates than k are all returned;
-repeated queries count once; an empty table gives an empty result.
+ones; vectors of different lengths have no inner product, so each length is searched on its own; scaled components
+and scores beyond 2 ** 62 count as that; rows of a query's own id are no candidates of it; other repeated
+rows are candidates each; fewer candidates than k are all returned; of queries that repeat an id the smallest
+vector counts; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -37,7 +39,9 @@ TOP, SCALE, EVERY = 20, 64, 20
 #: Cells at the top level, and vectors a block of data or of queries holds at most (on average).
 CELLS, DATA_BLOCK, QUERY_BLOCK = 32, 4096, 1024
 #: Stands for no score: below any score, and safe to negate.
-NONE = -(1 << 62)
+NONE = -(1 << 63) + 1
+#: The largest component and score, either sign.
+MOST, MOST_SCORE = 1 << 62, 1 << 62
 #: Vectors under a node that is not split further.
 LEAF = 64
 
@@ -128,9 +132,10 @@ def search(queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, data:
     norm_l, norm_r = np.array([np.sqrt(c @ c) for c in left.centre]), np.array([np.sqrt(c @ c) for c in right.centre])
     radius_l, radius_r = np.array(left.radius), np.array(right.radius)
     centre_r = np.array(right.centre)
-    # Sums of 64-bit floats are exact below 2 ** 53; larger components are multiplied as integers.
-    exact = float(np.abs(queries).max()) * float(np.abs(data).max()) * queries.shape[1] < 2.0**53
-    q_of, d_of = (queries.astype(np.float64), data.astype(np.float64)) if exact else (queries, data)
+    # Sums of 64-bit floats are exact below 2 ** 53, of 64-bit integers below 2 ** 61; beyond, Python's integers are.
+    most = float(np.abs(queries).max()) * float(np.abs(data).max()) * queries.shape[1]
+    kind = np.float64 if most < 2.0**53 else np.int64 if most < 2.0**60 else object
+    q_of, d_of = queries.astype(kind), data.astype(kind)
 
     def worst(node: int) -> float:
         i, j = left.span[node]
@@ -139,7 +144,7 @@ def search(queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, data:
 
     def bound(a: int, nodes: np.ndarray) -> np.ndarray:
         reach = centre_r[nodes] @ left.centre[a] + norm_l[a] * radius_r[nodes] + norm_r[nodes] * radius_l[a] + radius_l[a] * radius_r[nodes]
-        return reach + 1e-6 * (1 + np.abs(reach))
+        return np.maximum(reach + 1e-6 * (1 + np.abs(reach)), -MOST_SCORE)  # scores are no lower
 
     stack = [(float(bound(0, np.array([0]))[0]), 0, 0)]
     while stack:
@@ -150,7 +155,7 @@ def search(queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, data:
         if not down_a and not down_b:
             rows, found = left.order[slice(*left.span[a])], right.order[slice(*right.span[b])]
             scores = q_of[rows] @ d_of[found].T
-            scores = scores.astype(np.int64)
+            scores = (np.clip(scores, -MOST_SCORE, MOST_SCORE) if kind is object else scores).astype(np.int64)
             scores[query_ids[rows][:, None] == ids[found][None, :]] = NONE
             best.add(rows, scores, ids[found])
             continue
@@ -167,8 +172,9 @@ def search(queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, data:
 def quantised(vectors: DataFrame, id_column: str = "vec_id", column: str = "embedding", scale: int = SCALE) -> DataFrame:
     """id, v: floor(scale * x) of the vectors that take part."""
     x = F.transform(F.col(column), lambda e: e.cast("double"))
-    sound = F.col(column).isNotNull() & (F.size(column) > 0) & F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < 2.0**40))
-    return vectors.where(F.col(id_column).isNotNull() & F.coalesce(sound, F.lit(False))).select(F.col(id_column).alias("id"), F.transform(x, lambda e: F.floor(e * scale)).alias("v"))
+    sound = F.col(column).isNotNull() & (F.size(column) > 0) & F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf")))
+    whole = lambda e: F.floor(F.greatest(F.least(e * scale, F.lit(float(MOST))), F.lit(-float(MOST)))).cast("long")
+    return vectors.where(F.col(id_column).isNotNull() & F.coalesce(sound, F.lit(False))).select(F.col(id_column).alias("id"), F.transform(x, whole).alias("v"))
 
 
 def _matrix(column: pa.Array, size: int) -> np.ndarray:
@@ -178,24 +184,34 @@ def _matrix(column: pa.Array, size: int) -> np.ndarray:
 def top_inner_products(vectors: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     """query_id, rank, vec_id and score: the k best of `vectors` (id, v) for each of `queries` (id, v)."""
     vectors = written(vectors, "vectors")
-    queries = written(queries.dropDuplicates(["id"]), "queries")
+    queries = written(queries.groupBy("id").agg(F.min("v").alias("v")), "queries")
+    sizes = [r[0] for r in queries.select(F.size("v").alias("s")).distinct().orderBy("s").collect()]  # mostly one
+    found = [_of_one_length(vectors, queries, size, k) for size in sizes]
+    if not found:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    return reduce(DataFrame.union, found)
+
+
+def _of_one_length(vectors: DataFrame, queries: DataFrame, size: int, k: int) -> DataFrame:
+    vectors, queries = vectors.where(F.size("v") == size), queries.where(F.size("v") == size)
     # At most CELLS rows, those of the smallest hashes.
     pivots = [r["v"] for r in vectors.select("v", F.xxhash64("id").alias("h")).orderBy("h", "v").limit(CELLS).collect()]
-    size = len(pivots[0]) if pivots else 1
-    centres = np.array([p for p in pivots if len(p) == size], dtype=np.float64).reshape(-1, size)
+    centres = np.array(pivots, dtype=np.float64).reshape(-1, size)
+    if not pivots:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
 
     def cells(df: DataFrame) -> DataFrame:
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             norms = (centres**2).sum(axis=1)
             for batch in batches:
                 x = _matrix(batch.column("v"), size)
-                d = norms[None, :] - 2 * x @ centres.T
+                d = norms[None, :] - 2.0 * (x.astype(np.float64) @ centres.T)
                 cell = d.argmin(axis=1)
                 away = np.sqrt(((x - centres[cell]) ** 2).sum(axis=1))
                 packed = pa.array([r.tobytes() for r in x], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(cell.astype(np.int32)), pa.array(away), packed], ["id", "cell", "away", "v"])
 
-        return map_arrow(df.where(F.size("v") == size), work, "id long, cell int, away double, v binary")
+        return map_arrow(df, work, "id long, cell int, away double, v binary")
 
     def blocks(df: DataFrame, rows: int, name: str) -> tuple[DataFrame, dict[int, tuple[int, float]]]:
         """Vectors with their block, and by cell its number of blocks and covering radius (at most CELLS rows)."""
@@ -235,7 +251,7 @@ def top_inner_products(vectors: DataFrame, queries: DataFrame, k: int = TOP) ->
     def bounds(a: int, b: int) -> float:
         q, p, rq, rp = centres[a], centres[b], asked_cells[a][1], data_cells[b][1]
         reach = float(q @ p + np.sqrt(q @ q) * rp + np.sqrt(p @ p) * rq + rq * rp)
-        return reach + 1e-6 * (1 + abs(reach))
+        return max(reach + 1e-6 * (1 + abs(reach)), -MOST_SCORE)
 
     first = [(a, a) for a in asked_cells if a in data_cells]
     found = None
