@@ -5,9 +5,9 @@ check is dropped and not tried anew, so a phone number with a card number right
 The network (`Tagger`) labels characters; its spans are added where they pass their kind's check and
 touch no other span.
 
-Training, in numpy on the driver, uses at most MAX_TRAIN texts: spans the patterns find there, with
-their digits drawn anew, are set one after the other into stretches of those texts that hold none, so
-every label is known. Tagging cuts a text into windows of WIDTH characters, STRIDE apart. A window with
+Training, in numpy on the driver, uses at most MAX_TRAIN whole texts, and PER_TEXT spans and stretches drawn over
+the length of each: spans the patterns find there, with their digits drawn anew, are set one after the
+other into stretches that hold none, so every label is known. Tagging cuts a text into windows of WIDTH characters, STRIDE apart. A window with
 neither a digit nor "@" can hold no span of these kinds and is not run. Spans of all windows of a text
 are reconciled together: those cut off by a window's edge give way to the neighbour's, and of
 overlapping ones the set of the highest total score stays.
@@ -42,8 +42,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 Span = tuple[int, int, int]  # start, end, number of the kind
 
-#: Bound of the training sample, and of the characters taken of each of its texts.
-MAX_TRAIN, MAX_CHARS = 1500, 4000
+#: Bound of the training sample: texts, and spans and stretches drawn over each whole text.
+MAX_TRAIN, PER_TEXT = 1500, 40
 WIDTH, STRIDE = 160, 80
 TRAIN_WIDTH, TRAIN_WINDOWS, EPOCHS, BATCH, RATE = 96, 1800, 8, 60, 0.01
 HIDDEN, EMBED = 16, 8
@@ -92,6 +92,7 @@ def base_spans(text: str) -> list[Span]:
     free, at = 0, text.find("@")
     while at >= 0:
         domain = DOMAIN.match(text, at + 1)
+        free = max(free, text.rfind("@", free, at) + 1)  # no part before an address holds the sign, so each letter is read once
         start = free + len(text[free:at].rstrip(LOCAL))
         if domain and start < at:
             out.append((start, domain.end(), 0))
@@ -259,19 +260,29 @@ class Tagger:
         return tags, np.take_along_axis(e, tags[:, :, None], axis=2)[:, :, 0] - e[:, :, 0]
 
 
-def training_windows(texts: list[str], n: int = TRAIN_WINDOWS, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
+def stretches(text: str, seed: int, most: int = PER_TEXT) -> tuple[list[tuple[int, str]], list[str]]:
+    """Found spans, with their kinds, and stretches without any, of a whole text: at most so many of each, drawn over its length."""
+    r = np.random.default_rng(seed & (1 << 62) - 1)
+    spans = base_spans(text)
+    named = [(k, text[s:e]) for s, e, k in spans if e - s <= 60]
+    named = [named[i] for i in sorted(r.permutation(len(named))[:most].tolist())]
+    taken = np.zeros(max(1, -(-len(text) // TRAIN_WIDTH)) + 1, dtype=bool)  # windows a span reaches into
+    for s, e, _ in spans:
+        taken[s // TRAIN_WIDTH : (e - 1) // TRAIN_WIDTH + 1] = True
+    free = np.flatnonzero(~taken[:-1])
+    chosen = np.sort(r.permutation(free)[:most]) * TRAIN_WIDTH
+    return named, [text[i : i + TRAIN_WIDTH] for i in chosen.tolist()]
+
+
+def training_windows(found: list[tuple[list[tuple[int, str]], list[str]]], n: int = TRAIN_WINDOWS, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Codes and tags of windows made of stretches without spans and of found spans with new digits."""
     r = np.random.default_rng(seed)
     pool: dict[int, list[str]] = {k: [] for k in range(len(KINDS))}
     plain, other = [], []
-    for text in texts:
-        text = text[:MAX_CHARS]
-        spans = base_spans(text)
-        for s, e, k in spans:
-            if e - s <= 60:
-                pool[k].append(text[s:e])
-        for i in range(0, max(1, len(text) - TRAIN_WIDTH + 1), TRAIN_WIDTH):
-            piece = text[i : i + TRAIN_WIDTH]
+    for named, pieces in found:
+        for k, s in named:
+            pool[k].append(s)
+        for piece in pieces:
             if not re.search("[0-9@]", piece):
                 plain.append(piece)
             elif not any(p.search(piece) for p in (IP, PHONE)) and "@" not in piece and not re.search("[0-9]{14}", piece):
@@ -325,13 +336,25 @@ def training_windows(texts: list[str], n: int = TRAIN_WINDOWS, seed: int = 5) ->
 
 
 def train(docs: DataFrame, limit: int = MAX_TRAIN) -> Tagger | None:
-    """A tagger trained on at most `limit` different texts that hold a digit or "@", those of the smallest hashes."""
-    some = docs.where(F.col("text").rlike("[0-9@]")).select(F.xxhash64("text").alias("h"), F.substring("text", 1, MAX_CHARS).alias("t"))
+    """A tagger trained on spans and stretches of at most `limit` different whole texts that hold a digit or "@", those of the smallest hashes."""
+    some = docs.where(F.col("text").rlike("[0-9@]")).select(F.xxhash64("text").alias("h"), "text")
     hashes = [r["h"] for r in some.select("h").distinct().orderBy("h").limit(limit).collect()]
     last = hashes[-1] if hashes else 0
-    found = some.where(F.col("h") <= last).groupBy("h").agg(F.min("t").alias("t"))  # at most `limit` groups
-    texts = [r["t"] for r in found.orderBy("h").collect()]
-    x, y = training_windows(texts)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            for h, text in zip(batch.column("h").to_pylist(), batch.column("text"), strict=True):
+                if h not in seen:
+                    seen.add(h)  # at most `limit`
+                    named, pieces = stretches(text.as_py(), h)
+                    columns = [pa.array([x]) for x in ([k for k, _ in named], [s for _, s in named], pieces)]
+                    types = [pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.string())]
+                    yield pa.RecordBatch.from_arrays([pa.array([h]), *(c.cast(t) for c, t in zip(columns, types, strict=True))], ["h", "kinds", "spans", "pieces"])
+
+    drawn = map_arrow(some.where(F.col("h") <= last), work, "h long, kinds array<int>, spans array<string>, pieces array<string>")
+    rows = sorted({r["h"]: r for r in drawn.dropDuplicates(["h"]).collect()}.items())  # at most `limit` rows of PER_TEXT short strings
+    x, y = training_windows([(list(zip(r["kinds"], r["spans"], strict=True)), r["pieces"]) for _, r in rows])
     if not len(x):
         return None
     tagger = Tagger()
@@ -339,8 +362,8 @@ def train(docs: DataFrame, limit: int = MAX_TRAIN) -> Tagger | None:
     return tagger
 
 
-def _window_spans(tags: np.ndarray, margin: np.ndarray, start: int, size: int, cut_left: bool, cut_right: bool) -> list[tuple[float, int, int, int]]:
-    """score, start, end, kind of each run of tags; none that a window's edge cuts off."""
+def _window_spans(tags: np.ndarray, margin: np.ndarray, start: int, size: int, cut_left: bool, cut_right: bool) -> list[tuple[float, int, int, int, bool, bool]]:
+    """score, start, end, kind of each run of tags, and whether the window's left or right edge cuts it off."""
     out, i = [], 0
     on = np.flatnonzero(tags[:size])
     while len(on):
@@ -348,12 +371,31 @@ def _window_spans(tags: np.ndarray, margin: np.ndarray, start: int, size: int, c
         kind, j = (int(tags[i]) - 1) // 2, i + 1
         while j < size and tags[j] == 2 + 2 * kind:
             j += 1
-        if not (cut_left and i == 0) and not (cut_right and j == size):
-            out.append((float(margin[i:j].sum()), start + i, start + j, kind))
+        out.append((float(margin[i:j].sum()), start + i, start + j, kind, cut_left and i == 0, cut_right and j == size))
         on = on[on >= j]
     return out
 
 
+def joined(found: list[tuple[float, int, int, int, bool, bool]]) -> list[tuple[float, int, int, int]]:
+    """Whole spans, and those put together of pieces that the edges of neighbouring windows cut off.
+
+    A span of at most the windows' overlap is whole in one of them, and its pieces give way to it.
+    """
+    out = [(v, s, e, k) for v, s, e, k, left, right in found if not left and not right]
+    kept: tuple[float, int, int, int] | None = None
+    for v, s, e, k, left, right in sorted((f for f in found if f[4] or f[5]), key=lambda f: (f[1], f[2])):
+        fits = left and kept is not None and kept[3] == k and s <= kept[2]
+        if not left:
+            kept = (v, s, e, k) if right else kept
+        elif fits:
+            kept = (kept[0] + v, kept[1], max(e, kept[2]), k)
+            if not right:
+                if kept[2] - kept[1] > STRIDE:
+                    out.append(kept)
+                kept = None
+    return out
+
+
 def reconciled(found: list[tuple[float, int, int, int]]) -> list[Span]:
     """Of spans from all windows of a text, the set without overlaps that has the highest total score."""
     best: dict[tuple[int, int, int], float] = {}
@@ -386,7 +428,7 @@ def tag(texts: list[str], tagger: Tagger, batch: int = 128) -> list[list[Span]]:
             end = min(start + WIDTH, len(c))
             if hot[end] > hot[start]:
                 windows.append((d, start, c[start:end], start > 0, end < len(c)))
-    found: list[list[tuple[float, int, int, int]]] = [[] for _ in texts]
+    found: list[list[tuple[float, int, int, int, bool, bool]]] = [[] for _ in texts]
     for i in range(0, len(windows), batch):
         part = windows[i : i + batch]
         x = np.full((len(part), max(len(w[2]) for w in part)), _POLICY[32], dtype=np.int64)
@@ -395,7 +437,7 @@ def tag(texts: list[str], tagger: Tagger, batch: int = 128) -> list[list[Span]]:
         tags, margin = tagger.decode(x)
         for k, (d, start, c, left, right) in enumerate(part):
             found[d] += _window_spans(tags[k], margin[k], start, len(c), left, right)
-    return [reconciled(f) for f in found]
+    return [reconciled(joined(f)) for f in found]
 
 
 def all_spans(texts: list[str], tagger: Tagger | None) -> list[tuple[list[Span], list[Span]]]:
