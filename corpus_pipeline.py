@@ -43,7 +43,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("best-fit packing", pack),
 ]
 
-#: No SQL: the first stage is a trained model. Tests hold the run against a plain version instead.
+#: No SQL: the first stage is a trained model. Tests hold near copies, redaction and packing against plain versions, the
+#: rules against SQL, the classifier against held-out labels, and the run against its stages.
 ORACLE_SQL: str | None = None
 
 

@@ -6,10 +6,12 @@ to the score of the document. It is trained in numpy by gradient ascent with mom
 whole documents, which their lines inherit.
 
 Training uses at most MAX_TRAIN labelled documents, those of the smallest hash of their id, and of each
-at most MAX_LINES lines; scoring has no bound. Neither language, source, id nor any label is a feature.
+at most MAX_LINES lines: of a longer text, runs of RUN neighbouring lines drawn by hash over its whole length,
+each a chain of its own. Features are made of the whole text before lines are drawn, and no text goes to the
+driver. Scoring has no bound. Neither language, source, id nor any label is a feature.
 
-Defined results: a null or empty text is scored as one empty line; repeated rows are scored alike; a
-labelled id that repeats counts once; without any training label every score is 0.5; an empty table
+Defined results: a null or empty text is scored as one empty line; repeated rows are scored alike; of a
+labelled id that repeats one text, that of the smallest hash, and the highest label count; without any training label every score is 0.5; an empty table
 gives an empty result; further columns are carried or ignored.
 """
 
@@ -26,10 +28,10 @@ from pyspark.sql import types as T
 
 from pathloom.llm import text as tx
 from pathloom.llm.quality_rules import repeated
-from pathloom.llm.shared import doc_crc, map_arrow
+from pathloom.llm.shared import doc_crc, map_arrow, shielded
 
 #: Bound of the training sample and of the lines of each of its documents.
-MAX_TRAIN, MAX_LINES = 3000, 64
+MAX_TRAIN, MAX_LINES, RUN = 3000, 64, 16
 #: The score from which a document counts as good.
 THRESHOLD = 0.3
 STEPS, RATE, MOMENTUM, DECAY = 150, 0.5, 0.9, 1e-4
@@ -143,17 +145,20 @@ class LineField:
         joint = np.exp(joint - np.logaddexp(total[j, 0], total[j, 1])[:, None, None])
         return good, joint.sum(axis=0)
 
-    def fit(self, x: np.ndarray, first: np.ndarray, after: np.ndarray, label: np.ndarray) -> LineField:
+    def fit(self, x: np.ndarray, first: np.ndarray, after: np.ndarray, label: np.ndarray, doc: np.ndarray | None = None) -> LineField:
+        """`doc` numbers the document of each chain, where one may have several."""
         lines = after - first
+        doc = np.arange(len(first)) if doc is None else doc
         y = np.repeat(label, lines)
-        weight = np.repeat(1.0 / np.maximum(lines, 1), lines)  # every document counts alike in the mean gradient
+        of_doc = np.bincount(doc, weights=lines)
+        weight = np.repeat(1.0 / np.maximum(of_doc[doc], 1), lines)  # every document counts alike in the mean gradient
         inner = np.repeat(np.maximum(lines - 1, 0), 1)
         seen = np.zeros((2, 2))
         seen[0, 0], seen[1, 1] = inner[label == 0].sum(), inner[label == 1].sum()
         step_w, step_p = np.zeros_like(self.weights), np.zeros_like(self.pairs)
         for _ in range(STEPS):
             good, pairs = self.marginals(x, first, after)
-            gradient = x.T @ ((y - good) * weight) / len(first) - DECAY * self.weights
+            gradient = x.T @ ((y - good) * weight) / len(of_doc) - DECAY * self.weights
             step_w = MOMENTUM * step_w + RATE * gradient
             step_p = MOMENTUM * step_p + RATE * ((seen - pairs) / len(x) - DECAY * self.pairs)
             self.weights = self.weights + step_w
@@ -167,15 +172,38 @@ class LineField:
         return tx.per_doc(good * weight, bounds) / tx.per_doc(weight, bounds)
 
 
+def drawn_lines(seed: int, first: int, after: int) -> list[tuple[int, int]]:
+    """The chains (from, to) that are learnt of a text's lines: all, or runs drawn over the whole text."""
+    if after - first <= MAX_LINES:
+        return [(first, after)]
+    starts = np.arange(first, after, RUN)
+    order = np.argsort(tx.mix((starts - first).astype(np.uint64) ^ np.uint64(seed & (1 << 64) - 1)), kind="stable")
+    return [(s, min(s + RUN, after)) for s in np.sort(starts[order[: MAX_LINES // RUN]]).tolist()]
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN) -> pd.DataFrame:
-    """text and quality of at most `limit` labelled documents outside the held-out fold, by the hash of their id."""
+    """doc_id, quality, and features of lines (float32, by chain: `sizes`) of at most `limit` labelled documents outside the
+    held-out fold, by the hash of their id."""
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    known = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    known = known.groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
     rank = F.xxhash64("doc_id")
     chosen = known.select("doc_id", "quality", rank.alias("h")).orderBy("h", "doc_id").limit(limit)
-    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")  # at most `limit` rows
-    head = F.slice(F.split("text", "\n"), 1, MAX_LINES)
-    return found.select("h", "doc_id", F.substring(F.array_join(head, "\n"), 1, 20_000).alias("text"), "quality").orderBy("h", "doc_id", "text").limit(2 * limit).toPandas()
+    found = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("of_text")).join(F.broadcast(chosen), "doc_id")  # at most `limit` rows
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = batch.column("h").to_pylist()
+            for i, j, buf, offsets in tx.groups(batch.column("text")):
+                x, _, first, after = line_features(buf, offsets)
+                chains = [drawn_lines(h[i + d], int(first[d]), int(after[d])) for d in range(j - i)]
+                cells = [np.concatenate([x[a:b] for a, b in c]).astype(np.float32).tobytes() for c in chains]
+                sizes = [[b - a for a, b in c] for c in chains]
+                kept = [batch.column(c).slice(i, j - i) for c in ("doc_id", "quality", "h", "of_text")]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(sizes, pa.list_(pa.int32())), pa.array(cells, pa.binary())], ["doc_id", "quality", "h", "of_text", "sizes", "lines"])
+
+    drawn = map_arrow(found, work, "doc_id long, quality int, h long, of_text long, sizes array<int>, lines binary")
+    once = drawn.groupBy("doc_id", "quality", "h").agg(F.min(F.struct("of_text", "sizes", "lines")).alias("t"))  # one row for each of `limit` ids
+    return once.select("h", "doc_id", "quality", "t.sizes", "t.lines").orderBy("h", "doc_id").toPandas()
 
 
 def held_out(doc_id: Column) -> Column:
@@ -185,13 +213,11 @@ def held_out(doc_id: Column) -> Column:
 def train(sample: pd.DataFrame) -> LineField:
     field = LineField()
     if len(sample):
-        found, ends = [], [np.zeros(1, dtype=np.int64)]
-        for _, _, buf, offsets in tx.groups(pa.array(sample["text"].tolist(), pa.string())):  # a group's bytes at a time
-            x, _, _, after = line_features(buf, offsets)
-            found.append(x)
-            ends.append(ends[-1][-1] + after)
-        bounds = np.concatenate(ends)
-        field.fit(np.concatenate(found), bounds[:-1], bounds[1:], sample["quality"].to_numpy().astype(np.int64))
+        x = np.frombuffer(b"".join(sample["lines"]), dtype=np.float32).reshape(-1, N_FEATURES).astype(np.float64)
+        sizes = [np.asarray(s, dtype=np.int64) for s in sample["sizes"]]
+        doc = np.repeat(np.arange(len(sizes)), [len(s) for s in sizes])
+        bounds = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+        field.fit(x, bounds[:-1], bounds[1:], sample["quality"].to_numpy().astype(np.int64)[doc], doc)
     return field
 
 
@@ -221,4 +247,5 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def filter_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents predicted to be good, with all their columns."""
-    return with_scores(docs, train(training_sample(docs, labels))).where(F.col(SCORE) >= THRESHOLD).select(*docs.columns)
+    plain = shielded(docs, {"doc_id", "text"})
+    return with_scores(plain, train(training_sample(docs, labels))).where(F.col(SCORE) >= THRESHOLD).select(*plain.columns).toDF(*docs.columns)

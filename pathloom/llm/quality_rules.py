@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from pathloom.llm import text as tx
-from pathloom.llm.shared import map_arrow, written
+from pathloom.llm.shared import map_arrow, shielded, written
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -211,4 +211,5 @@ def filter_documents(docs: DataFrame) -> DataFrame:
     """The documents that are kept, with all their columns; the texts are not shuffled while the limits are small."""
     narrow = with_metrics(docs.select("lang", "source", "text"), ["lang", "source"])
     found = written(limits(sketches(narrow)), "quality-limits")
-    return judged(with_metrics(docs), found).where("__kept").select(*docs.columns)
+    plain = shielded(docs, {"lang", "source", "text"})
+    return judged(with_metrics(plain), found).where("__kept").select(*plain.columns).toDF(*docs.columns)
