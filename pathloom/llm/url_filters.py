@@ -112,11 +112,12 @@ def canonical(pages: DataFrame, url: str = "url") -> DataFrame:
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]], globs: Sequence[tuple[str, str]], default: str = "allow") -> DataFrame:
-    """`pages` (with host and path) with columns rule and verdict.
+    """`pages` (with host and path) with columns rule and verdict, in place of columns of these names that it may have.
 
     `rules` are (host, path, verdict): of those that fit, the longest decides. Where none fits, the
     first of `globs` (pattern, verdict) that fits decides, else `default`.
     """
+    pages = pages.drop("rule", "verdict")
     ranked = sorted(rules, key=lambda r: -len(r[0] + r[1]))
     automaton = GlobSet([f"*.{h}{_literal(p)}**" for h, p, _ in ranked] + [g for g, _ in globs])
     names = np.array([h + p for h, p, _ in ranked] + [None], dtype=object)
