@@ -4,7 +4,8 @@ A text gets a space in front and its spaces become the whitespace marker; its se
 of the highest sum of piece scores. A character that no piece covers costs more than any piece and is
 written in byte pieces. Where no piece holds a marker after another character, as is checked, the best
 segmentation of a text is that of its units (markers, then other characters), so each distinct unit is
-segmented once a task, many at a time: at every start all units walk the trie together in numpy.
+segmented once a task, many at a time: at every start all units walk the trie together in numpy. In a
+unit of LONG bytes, as in prose without spaces, all starts walk the trie at once instead.
 
 Defined results: a null or empty text has no pieces and decodes to an empty text; a marker character in
 the text itself decodes to a space; repeated rows are encoded alike; a text of any length is encoded
@@ -176,6 +177,57 @@ def viterbi(p: Pieces, grid: np.ndarray, length: np.ndarray) -> tuple[np.ndarray
     return ids, np.bincount(row, weights=count, minlength=n).astype(np.int64)
 
 
+def viterbi_long(p: Pieces, data: np.ndarray) -> np.ndarray:
+    """Ids of the best segmentation of one long unit, the same as `viterbi` gives.
+
+    All starts walk the trie together, a depth a step; what is left one after the other is the maximum over the
+    pieces found, in the order of their starts.
+    """
+    n = len(data)
+    starts, ends, numbers = [], [], []
+    at, node = np.arange(n), np.zeros(n, dtype=np.int64)
+    covered = np.zeros(n, dtype=bool)
+    for depth in range(min(p.longest, n)):
+        inside = at + depth < n
+        at, node = at[inside], node[inside]
+        to = p.trie.base[node] + data[at + depth].astype(np.int64)
+        ok = (p.trie.check[to] == node) & (p.trie.base[node] > 0)
+        at, node = at[ok], to[ok]
+        if not len(at):
+            break
+        found = p.trie.value[node] >= 0
+        starts.append(at[found])
+        ends.append(at[found] + depth + 1)
+        numbers.append(p.trie.value[node[found]].astype(np.int64))
+        covered[at[found][_SIZE[data[at[found]]] == depth + 1]] = True
+    alone = np.arange(n)[~covered]
+    starts.append(alone)
+    ends.append(np.minimum(alone + _SIZE[data[alone]], n))
+    numbers.append(np.full(len(alone), -1))
+    start, end, number = np.concatenate(starts), np.concatenate(ends), np.concatenate(numbers)
+    order = np.argsort(start, kind="stable")
+    start, end, number = start[order], end[order], number[order]
+    score = np.where(number >= 0, p.scores[number], p.scores.min() - UNKNOWN_PENALTY)
+    none = float("-inf")
+    best, came = [none] * (n + 1), [-1] * (n + 1)
+    best[0] = 0.0
+    for k, (i, j, v) in enumerate(zip(start.tolist(), end.tolist(), score.tolist(), strict=True)):
+        v += best[i]
+        if v > best[j]:
+            best[j], came[j] = v, k
+    ids, i = [], n
+    while i:
+        k = came[i]
+        begin = int(start[k])
+        ids.append(np.array([number[k]]) if number[k] >= 0 else p.byte_ids[data[begin:i]])
+        i = begin
+    return np.concatenate(ids[::-1]).astype(np.uint32) if ids else np.empty(0, dtype=np.uint32)
+
+
+#: Bytes from which a unit is segmented by itself.
+LONG = 512
+
+
 class Encoder(UnitCache):
     def __init__(self, pieces: Pieces):
         super().__init__()
@@ -183,6 +235,11 @@ class Encoder(UnitCache):
 
     def _learn(self, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, buf: np.ndarray) -> None:
         length = ends - starts
+        for u in np.flatnonzero(length >= LONG).tolist():
+            ids = viterbi_long(self.pieces, buf[starts[u] : ends[u]])
+            self._keep(hashes[u : u + 1], [ids], [np.array([len(ids)])])
+        short = np.flatnonzero(length < LONG)
+        hashes, starts, ends, length = hashes[short], starts[short], ends[short], length[short]
         order = np.argsort(length, kind="stable")
         i = 0
         while i < len(order):  # units of about one length, as many as fit a grid of bounded size
