@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -202,7 +203,7 @@ def test_tagger_finds_what_patterns_miss():
 
     texts = [" ".join([*r.choices(words, k=15), r.choice([number, phone, mail, ip])(), *r.choices(words, k=20)]) for _ in range(300)]
     tagger = pii.Tagger()
-    tagger.fit(*pii.training_windows(texts))
+    tagger.fit(*pii.training_windows([pii.stretches(t, i) for i, t in enumerate(texts)]))
     found, tried = 0, 40
     for _ in range(tried):
         a, b = phone(), number()
@@ -238,6 +239,24 @@ def test_unigram_viterbi_scores_as_the_library(pieces):
         assert pieces.scores[ids[a:b]].sum() == pytest.approx(pieces.scores[best].sum(), rel=1e-6)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet="theandions 1é日😀\x00\n", min_size=1, max_size=60))
+def test_unigram_of_a_long_unit_is_that_of_a_short_one(pieces, text):
+    data = np.frombuffer(text.encode(), dtype=np.uint8)
+    ids, counts = unigram.viterbi(pieces, data[None, :], np.array([len(data)]))
+    assert unigram.viterbi_long(pieces, data).tolist() == ids.tolist() and counts.tolist() == [len(ids)]
+
+
+def test_unigram_of_prose_without_spaces_takes_linear_time(pieces):
+    r = random.Random(6)
+    text = "".join(r.choices("日本語の文章にはスペースがない。abc", k=30_000))  # 80,000 bytes
+    encoder = unigram.Encoder(pieces)
+    began = time.perf_counter()
+    ids, _, _, _ = encoder.encode(*next(tx.groups(pa.array([text]), 1 << 30))[2:])
+    assert time.perf_counter() - began < 3  # 0.3 s alone on a machine; 22 s a byte at a time
+    assert unigram.decode_text(pieces, ids.tolist()) == text
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(alphabet="the and\n1é日😀\x00", max_size=30), min_size=1, max_size=4))
 def test_unigram_round_trip(pieces, texts):

@@ -1,5 +1,6 @@
 """Operators in Spark against plain versions, and on odd rows."""
 
+import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -9,7 +10,7 @@ import pytest
 from odd_documents import PROSE, documents, odd_texts  # noqa: F401
 
 import corpus_pipeline
-from pathloom.llm import components, cover_tree, kneser_ney, ngram_join, packing, pii, preferences, quality_crf, quality_rules, unigram, url_filters
+from pathloom.llm import components, cover_tree, grouping, kneser_ney, ngram_join, packing, pii, preferences, quality_crf, quality_rules, unigram, url_filters
 from pathloom.llm.oracle import ORACLE
 from pathloom.llm.queries import QUERIES, URL_GLOBS, URL_RULES
 from test_queries import multiset, oracle_rows
@@ -57,6 +58,17 @@ def test_limits_follow_the_source(documents):  # noqa: F811
     assert all(r.kept for r in quality_rules.apply_rules(mostly_signs.drop("lang", "source").selectExpr("*", "'a' lang", "'b' source")).where("doc_id < 250").collect())
 
 
+def test_filters_keep_columns_of_any_name(spark, documents):  # noqa: F811
+    names = ["__quality_rules", "__lang", "__limit_length", "__quality_score", "further0", "__kept", "rule", "verdict"]
+    docs = documents([PROSE, "x", PROSE + " once more"]).selectExpr("doc_id", "text", "lang", "source", *[f"doc_id + {i} AS {n}" for i, n in enumerate(names)])
+    labels = spark.createDataFrame([(1, 0)], "doc_id long, quality int")
+    for kept in (quality_rules.filter_documents(docs), quality_crf.filter_documents(docs, labels)):
+        assert kept.columns == docs.columns
+        assert all([r[n] - r.doc_id for n in names] == list(range(len(names))) for r in kept.collect())
+    pages = url_filters.filter_urls(docs.selectExpr("*", "'a.org' AS host", "'/' AS path"), URL_RULES, URL_GLOBS)
+    assert [c for c in pages.columns if c in ("rule", "verdict")] == ["rule", "verdict"] and {r.verdict for r in pages.collect()} == {"allow"}
+
+
 # classifier
 def test_classifier(spark, sf_dir, documents):  # noqa: F811
     docs, labels = (spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/{t}.parquet") for t in ("documents", "labels"))
@@ -104,6 +116,19 @@ def test_language_model(spark, documents):  # noqa: F811
     assert kneser_ney.score(empty, kneser_ney.learn(empty)).count() == 0
 
 
+def test_language_model_of_steep_counts_is_finite(documents):  # noqa: F811
+    """Counts of counts that do not fall: no estimate may leave a context without mass for unseen words."""
+    r = np.random.default_rng(2)
+    tables = [["a b"] * 2 + [t for t in ("c d", "e f", "g h", "i j") for _ in range(3)] + [" ".join(f"w{i}" for i in range(60)), "a f", "a zzz"]]
+    tables += [[" ".join(r.choice(list("abcd"), size=int(r.integers(1, 7)))) for _ in range(12)] * int(r.integers(1, 4)) for _ in range(2)]
+    for texts in tables:
+        docs = documents(texts)
+        rows = kneser_ney.score(docs, kneser_ney.learn(docs)).collect()
+        assert len(rows) == len(texts) and all(np.isfinite(x.score) and x.score < 0 for x in rows)
+    for counts in ([10, 1, 30, 0], [0, 0, 0, 0], [60, 0, 0, 5], [0, 7, 3, 9], [5, 5, 5, 5]):
+        assert all(0 < d <= k for k, d in enumerate(kneser_ney.discounts(counts), 1))
+
+
 # packing
 def test_packing(documents):  # noqa: F811
     rows = packing.pack(documents()).collect()
@@ -142,6 +167,16 @@ def test_vectors(spark):
     assert cover_tree.top_inner_products(none, none).count() == 0
 
 
+def test_vectors_of_any_length_and_size(spark):
+    rows = [(0, [1.0, 2.0]), (1, [1e15, -3.0]), (2, [3.0]), (20, [0.5]), (3, [2.0, 1.0]), (40, [1e300, 0.0]), (4, [2.0]), (5, [-1e300, 1.0])]
+    vectors = cover_tree.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in cover_tree.top_inner_products(vectors, vectors.where("id % 20 = 0")).collect()}
+    most = 1 << 62
+    assert [got[0, k] for k in (1, 2, 3, 4)] == [(40, most), (1, 64 * int(64e15) - 128 * 192), (3, 128 * 64 * 2), (5, -most)]
+    assert [got[20, k] for k in (1, 2)] == [(2, 32 * 192), (4, 32 * 128)]
+    assert [got[40, k] for k in (1, 2, 3, 4)] == [(0, most), (1, most), (3, most), (5, -most)] and len(got) == 10
+
+
 # personal data
 def test_personal_data(documents):  # noqa: F811
     docs = documents()
@@ -154,6 +189,68 @@ def test_personal_data(documents):  # noqa: F811
     assert pii.find(documents([]), None).count() == 0
 
 
+def test_digest_of_base_spans(spark, sf_dir):
+    """Digest and counts of whole texts against the patterns as the contract states them."""
+    email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    ip = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    card, phone = re.compile(r"[0-9]([\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+    def luhn(d):
+        twice = [2 * int(c) if i % 2 else int(c) for i, c in enumerate(reversed(d))]
+        return sum(x - 9 if x > 9 else x for x in twice) % 10 == 0
+
+    def plain(t):
+        digits = lambda m: re.sub("[^0-9]", "", m.group())
+        found = [(m.start(), 0, "email", m.end()) for m in email.finditer(t)]
+        found += [(m.start(), 1, "ip", m.end()) for m in ip.finditer(t) if all(int(p) <= 255 for p in m.group().split("."))]
+        found += [(m.start(), 2, "card", m.end()) for m in card.finditer(t) if 14 <= len(digits(m)) <= 19 and luhn(digits(m))]
+        found += [(m.start(), 3, "phone", m.end()) for m in phone.finditer(t) if 10 <= len(digits(m)) <= 15]
+        return sorted(found)
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    tagger = pii.train(docs)
+    rows, clean = by_id(pii.find(docs, tagger)), by_id(pii.redact(docs, tagger))
+    seen = 0
+    for r in docs.collect():
+        spans = plain(r.text or "")
+        got = rows[r.doc_id]
+        assert got.base_sha256 == hashlib.sha256(",".join(f"{k}:{s}:{e}" for s, _, k, e in spans).encode()).hexdigest()
+        assert [got.n_email, got.n_ip, got.n_card, got.n_phone] == [sum(s[1] == k for s in spans) for k in range(4)]
+        every = [(int(s), int(e), k) for k, s, e in (x.split(":") for x in got.spans.split(",") if x)]
+        assert {(s, e, k) for s, _, k, e in spans} <= set(every) and every == sorted(every, key=lambda x: x[0])
+        out, at = "", 0
+        for s, e, k in every:  # what overlaps is one
+            if s >= at:
+                out += r.text[at:s] + f"[{k.upper()}]"
+            at = max(at, e)
+        assert clean[r.doc_id].text == (None if r.text is None else out + r.text[at:])
+        seen += len(spans)
+    assert seen
+
+
+def test_training_sees_ends_of_long_texts(documents):  # noqa: F811
+    """Spans and lines far down a long text are learnt from: neither is cut to a head."""
+    text = "plain words " * 3000 + "call +1 (269) 555-3296 now"
+    named, pieces = pii.stretches(text, 7)
+    assert named == [(3, "+1 (269) 555-3296")] and len(pieces) == pii.PER_TEXT
+    lines = quality_crf.drawn_lines(11, 0, 5000)
+    assert sum(b - a for a, b in lines) == quality_crf.MAX_LINES and max(b for _, b in lines) > 1000
+    docs = documents([PROSE] * 8 + ["\n".join([PROSE] * 200 + ["# $ % 1 2 3 !!"] * 800)] * 8)
+    labels = docs.selectExpr("doc_id", "cast(doc_id < 8 as int) quality")
+    sample = quality_crf.training_sample(docs, labels)
+    bad = sample[sample.quality == 0]
+    assert len(bad) and all(len(x) == 4 and sum(x) == quality_crf.MAX_LINES for x in bad.sizes)
+    signs = [(np.frombuffer(x, np.float32).reshape(-1, quality_crf.N_FEATURES)[:, 2] > 0.2).sum() for x in bad.lines]
+    assert sum(signs) > 20 * len(bad)  # most lines stand in the bad four fifths
+
+
+def test_long_span_is_put_together():
+    a, b = pii.WIDTH, pii.STRIDE
+    cut = [(1.0, 20, a, 0, False, True), (2.0, b, a + b, 0, True, True), (1.0, 2 * b, 2 * b + 70, 0, True, False), (3.0, 400, 410, 1, False, False)]
+    assert pii.joined(cut) == [(3.0, 400, 410, 1), (4.0, 20, 2 * b + 70, 0)]
+    assert pii.joined([(1.0, 150, 160, 3, False, True), (1.0, 150, 170, 3, False, False), (1.0, 160, 170, 3, True, False)]) == [(1.0, 150, 170, 3)]
+
+
 # near copies
 def plain_classes(texts):
     sets = []
@@ -186,8 +283,9 @@ def copies(n=220, seed=1):
 def test_near_copies(documents, monkeypatch, small):  # noqa: F811
     if small:  # frequent shingles and several blocks although there are few documents
         monkeypatch.setattr(ngram_join, "CLASSES", (3, 12))
-        monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 25)
-        monkeypatch.setattr(ngram_join, "ROUNDS", 1)
+        monkeypatch.setattr(grouping, "BLOCK_ROWS", 25)
+        monkeypatch.setattr(grouping, "ROUNDS", 1)
+        monkeypatch.setattr(components, "ONE_TASK", 20)
         monkeypatch.setattr(ngram_join, "FLUSH", 3000)
     texts = copies()
     rows = by_id(ngram_join.classes(documents(texts)))
@@ -201,7 +299,9 @@ def test_near_copies_on_odd_rows(spark, documents):  # noqa: F811
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 2, 3, 4]
 
 
-def test_components(spark):
+@pytest.mark.parametrize("one_task", [components.ONE_TASK, 0])
+def test_components(spark, monkeypatch, one_task):
+    monkeypatch.setattr(components, "ONE_TASK", one_task)  # 0: rounds of contraction until no edge is left
     edges = [(i, i + 1) for i in range(0, 40)] + [(50, 60), (55, 60), (70, 71)]
     got = {r.vertex: r.label for r in components.connect(spark.createDataFrame(edges, "x long, y long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 50: 50, 60: 50, 55: 50, 70: 70, 71: 70}
