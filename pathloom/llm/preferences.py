@@ -5,8 +5,8 @@ rendered once, and what follows in either conversation is its completion. In a c
 assistant's texts are learned: `*_mask` lists their spans, [start, end) in characters of the completion.
 A turn is rendered as `<|role|>\\n`, its text, `<|end|>\\n`.
 
-Conversations are compared turn by turn in a join, so no pair is brought to one task before its texts are
-put together, and the hot first turn that many conversations begin with is no key of anything.
+The turns of a pair are gathered once, by its id, so the texts travel once; the hot first turn that many
+conversations begin with is no key of anything.
 
 Defined results: a conversation that is missing counts as one without turns; turns of one number are
 taken in the order of role and text, nulls first, and equal ones once; a null role or text is rendered
@@ -18,31 +18,33 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 ROLE_LEARNED = "assistant"
 
 
-def neighbours(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Chosen and rejected turns with a pair_id, from plain conversations: the even ones are chosen, the next ones rejected.
+def neighbours(turns: DataFrame) -> DataFrame:
+    """As `format_pairs` of plain conversations: the even ones are chosen, the next ones rejected.
 
     A rejected conversation takes over the first turn of the chosen one where both begin with the same
     role, as two answers to one question would.
     """
-    rows = turns.where("conv_id IS NOT NULL AND turn IS NOT NULL").select(F.floor(F.col("conv_id") / 2).alias("pair_id"), (F.pmod("conv_id", F.lit(2)) == 0).alias("chosen"), "turn", "role", "text")
-    chosen = rows.where("chosen").drop("chosen")
-    first = chosen.where("turn = 0").groupBy("pair_id", F.col("role").alias("first_role")).agg(F.min("text").alias("first_text"), F.lit(0).cast("long").alias("at"))
-    rejected = rows.where("NOT chosen").drop("chosen")
-    on = (rejected.pair_id == first.pair_id) & (rejected.turn == first["at"]) & rejected.role.eqNullSafe(first.first_role)
-    same = rejected.join(first, on, "left").select(rejected.pair_id, "turn", "role", F.when(F.col("at").isNotNull(), F.col("first_text")).otherwise(F.col("text")).alias("text"))
-    return chosen, same
+    rows = turns.where("conv_id IS NOT NULL AND turn IS NOT NULL")
+    pair_id, chosen = F.floor(F.col("conv_id") / 2).alias("pair_id"), F.pmod("conv_id", F.lit(2)) == 0
+    pairs = _gathered(rows.select(pair_id, chosen.alias("chosen"), "turn", "role", "text"))
 
+    def taken_over(t: Column) -> Column:
+        first = F.filter("c", lambda x: (x["turn"] == 0) & x["role"].eqNullSafe(t["role"]))
+        text = F.when((t["turn"] == 0) & (F.size(first) > 0), F.array_min(F.transform(first, lambda x: x["text"]))).otherwise(t["text"])
+        return F.struct(t["turn"].alias("turn"), t["role"].alias("role"), text.alias("text"))
 
-def _placed(turns: DataFrame, side: str) -> DataFrame:
-    """Turns with their place in the conversation."""
-    rows = turns.where("pair_id IS NOT NULL AND turn IS NOT NULL").select("pair_id", "turn", "role", "text").distinct()
-    order = Window.partitionBy("pair_id").orderBy("turn", F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first())
-    return rows.select("pair_id", F.row_number().over(order).alias("place"), F.struct("role", "text").alias(side))
+    return _formatted(pairs.withColumn("r", F.array_distinct(F.transform("r", taken_over))))
+
+
+def _gathered(rows: DataFrame) -> DataFrame:
+    """pair_id and the distinct turns of both sides, from rows (pair_id, chosen, turn, role, text): the texts travel once."""
+    turn = F.struct("turn", "role", "text")
+    sides = {"c": F.col("chosen"), "r": ~F.col("chosen")}
+    return rows.groupBy("pair_id").agg(*[F.collect_set(F.when(is_side, turn)).alias(s) for s, is_side in sides.items()])
 
 
 def _rendered(role: Column, text: Column) -> Column:
@@ -65,17 +67,27 @@ def _mask(turns: Column) -> Column:
 
 def format_pairs(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
     """pair_id, prefix_turns, prompt, chosen, chosen_mask, rejected, rejected_mask, from turns (pair_id, turn, role, text) of both sides."""
-    both = _placed(chosen, "c").join(_placed(rejected, "r"), ["pair_id", "place"], "full")
-    differs = ~F.col("c").eqNullSafe(F.col("r"))
-    # The first place where they differ is found while the turns are gathered, so no row is read twice.
-    cell = lambda s: F.struct(F.col(f"{s}.role").alias("role"), _rendered(F.col(f"{s}.role"), F.col(f"{s}.text")).alias("shown"))
-    item = F.struct("place", F.when(F.col("c").isNotNull(), cell("c")).alias("c"), F.when(F.col("r").isNotNull(), cell("r")).alias("r"))
-    pairs = both.groupBy("pair_id").agg(F.min(F.when(differs, F.col("place"))).alias("first"), F.max("place").alias("last"), F.sort_array(F.collect_list(item)).alias("turns"))
-    prefix = F.coalesce(F.col("first") - 1, F.col("last"))
-    after = F.filter("turns", lambda t: t["place"] > F.col("prefix_turns"))
-    side = lambda s: F.transform(F.filter(after, lambda t: t[s].isNotNull()), lambda t: t[s])
-    shared = F.transform(F.filter("turns", lambda t: t["place"] <= F.col("prefix_turns")), lambda t: t["c"])
-    pairs = pairs.withColumn("prefix_turns", prefix)
-    return pairs.select(
-        "pair_id", "prefix_turns", _completion(shared).alias("prompt"), _completion(side("c")).alias("chosen"), _mask(side("c")).alias("chosen_mask"), _completion(side("r")).alias("rejected"), _mask(side("r")).alias("rejected_mask")
+    sides = [df.where("pair_id IS NOT NULL AND turn IS NOT NULL").select("pair_id", F.lit(c).alias("chosen"), "turn", "role", "text") for df, c in ((chosen, True), (rejected, False))]
+    return _formatted(_gathered(sides[0].unionByName(sides[1])))
+
+
+def _formatted(pairs: DataFrame) -> DataFrame:
+    """Of both sides' turns (c, r) the common first ones as prompt, the others as completions."""
+    plain = lambda side: F.transform(F.sort_array(side), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
+    placed = pairs.select("pair_id", plain("c").alias("c"), plain("r").alias("r"))
+    # A side that has ended differs from any turn.
+    differs = F.transform(F.arrays_zip("c", "r"), lambda z: ~z["c"].eqNullSafe(z["r"]))
+    longest = F.greatest(F.size("c"), F.size("r"))
+    prefix = F.coalesce(F.nullif(F.array_position(differs, True), F.lit(0)) - 1, longest).cast("int")
+    shown = lambda side: F.transform(side, lambda t: F.struct(t["role"].alias("role"), _rendered(t["role"], t["text"]).alias("shown")))
+    placed = placed.select("pair_id", prefix.alias("prefix_turns"), shown("c").alias("c"), shown("r").alias("r"))
+    after = lambda side: F.slice(side, F.col("prefix_turns") + 1, F.size(side))
+    return placed.select(
+        "pair_id",
+        "prefix_turns",
+        _completion(F.slice("c", F.lit(1), F.col("prefix_turns"))).alias("prompt"),
+        _completion(after("c")).alias("chosen"),
+        _mask(after("c")).alias("chosen_mask"),
+        _completion(after("r")).alias("rejected"),
+        _mask(after("r")).alias("rejected_mask"),
     )

@@ -29,7 +29,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = preferences.format_pairs(*preferences.neighbours(table(spark, sf_dir, "conversations")))
+    pairs = preferences.neighbours(table(spark, sf_dir, "conversations"))
     shown = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s[0], s[1])), ",")
     return pairs.withColumns({c: shown(F.col(c)) for c in ("chosen_mask", "rejected_mask")})
 
