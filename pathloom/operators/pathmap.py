@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pathloom.functions.leaves import plain_paths
 from pathloom.functions.records import OBJECT, STRICT_JSON, higher_order, json_path, may_be_rewritten, trie_regex
 from pathloom.plans.templates import TemplateSpec, normalise
 
@@ -33,8 +34,16 @@ def path_map(value: Column, root: str | Sequence[str] | None = None) -> Column:
     null as NULL and arrays as JSON text. An empty object has no leaf. Text that is no JSON object gives
     NULL. Of two equal paths (a key ``A.B`` beside ``{"A": {"B": …}}``) that under the smaller key stays,
     ``A``; of a key repeated in one object the last value counts.
+
+    Plain records are read in Arrow batches, the others by ``sql_path_map``. As a Python function reads the batches, the
+    column can stand anywhere but in a lambda.
     """
     keys = root_keys(root)
+    return F.coalesce(plain_paths(value, keys), sql_path_map(value, keys))
+
+
+def sql_path_map(value: Column, keys: Sequence[str] = ()) -> Column:
+    """``path_map`` in SQL alone, for records of any shape."""
     top = F.try_variant_get(F.try_parse_json(value), json_path(keys), OBJECT)
     leaves = _leaves(value, F.map_entries(top), _variant_entries, lambda v: F.try_variant_get(v, "$", "string"))
     return F.coalesce(_by_path(leaves), string_path_map(value, keys))
@@ -48,11 +57,15 @@ def string_path_map(value: Column, keys: Sequence[str] = ()) -> Column:
     """
     text = F.regexp_replace(value, f'"({_IN_STRING})"', f'"{STRING_MARK}$1"')
     for key in keys:
-        text = F.try_element_at(F.filter(_string_entries(text), lambda e, key=key: e.getField("key") == key), F.lit(-1)).getField("value")
+        text = F.try_element_at(F.filter(_string_entries(text), partial(_is_under, key)), F.lit(-1)).getField("value")
     leaves = _leaves(value, _string_entries(text), _string_entries, _string_text)
     return F.when(F.try_parse_json(value).isNull(), _by_path(leaves))
 
 
+def _is_under(key: str, entry: Column) -> Column:
+    return entry.getField("key") == key
+
+
 def _let(value: Column, body: Callable[[Column], Column], result_type: str) -> Column:
     """``body(value)`` with ``value`` made once: a fold over one element."""
     return F.aggregate(F.array(value), F.lit(None).cast(result_type), lambda _, found: body(found))
@@ -104,8 +117,8 @@ def _leaves(text: Column, entries: Column, inner: Callable[[Column], Column], le
 def flat_keys(df: DataFrame, value: Column, keep: Sequence[str], root: Sequence[str], name: str) -> DataFrame:
     """``keep`` and, as column ``name``, the path map of records whose keys are dotted paths.
 
-    Most records are plain maps of texts and numbers, which a string map reads whole and fast;
-    ``path_map`` reads those with a leaf that a string would rewrite.
+    Many records are plain maps of texts and numbers, which a string map reads whole and fast;
+    ``sql_path_map`` reads those with a leaf that a string would rewrite.
     """
     schema: T.DataType = T.MapType(T.StringType(), T.StringType())
     for key in reversed(root):
@@ -117,7 +130,7 @@ def flat_keys(df: DataFrame, value: Column, keep: Sequence[str], root: Sequence[
     return (
         df.select(*keep, value.alias("__text"))
         .select(*keep, "__text", texts.alias("__texts"))
-        .select(*keep, F.when(plain, F.col("__texts")).otherwise(path_map(F.col("__text"), root)).alias(name))
+        .select(*keep, F.when(plain, F.col("__texts")).otherwise(sql_path_map(F.col("__text"), root)).alias(name))
     )
 
 
