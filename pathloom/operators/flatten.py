@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pathloom.functions.leaves import plain_record
 from pathloom.functions.records import (
     UNEXPECTED,
     PathRecord,
@@ -25,7 +26,7 @@ from pathloom.functions.records import (
     sql_name,
     sql_text,
 )
-from pathloom.operators.pathmap import ID_PATTERNS, flat_keys, path_map, root_keys, string_path_map
+from pathloom.operators.pathmap import ID_PATTERNS, flat_keys, root_keys, sql_path_map, string_path_map
 from pathloom.plans.templates import RowGroup, Template, TemplateSpec, id_columns, plan_groups
 
 SPINES = ("driver", "any")
@@ -33,6 +34,7 @@ STRATEGIES = ("auto", "variant", "path_map")
 LAYOUTS = ("nested", "flat")
 #: Column of a row group's number, and how many instances of others a record may be given.
 GROUP, MAX_INSTANCES = "__group", 10_000
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 def flatten_paths(
@@ -117,11 +119,21 @@ class GroupTables(Sequence[DataFrame]):
         return _flatten(self._df, [self._groups[n] for n in chosen], self._options)
 
     def store(self, path: str, mode: str = "errorifexists") -> list[DataFrame]:
-        """Writes all groups as Parquet below ``path``, a folder each, from one scan; returns them as read from there."""
+        """Writes all groups as Parquet below ``path``, a folder each, from one scan; returns them as read from there.
+
+        A task holds a file open for each group, so that it need not sort its rows by group, which would take memory
+        for all of them.
+        """
         if self._df.isStreaming:
             raise ValueError("a stream is written by a sink; partition it by the column of tagged()")
         rows = self.tagged()
-        rows.write.partitionBy(GROUP).mode(mode).parquet(path)
+        conf = self._df.sparkSession.conf
+        files = conf.get(OPEN_FILES)
+        conf.set(OPEN_FILES, max(int(files), len(self)))
+        try:
+            rows.write.partitionBy(GROUP).mode(mode).parquet(path)
+        finally:
+            conf.set(OPEN_FILES, files)
         stored = self._df.sparkSession.read.schema(rows.schema).parquet(path)
         return [stored.where(F.col(GROUP) == n).select(*map(_quoted, self.columns(n))) for n in range(len(self))]
 
@@ -242,13 +254,25 @@ def _rows(df: DataFrame, groups: list[RowGroup], options: _Options, tag: str | N
     build = _RowBuilder(groups, names, columns, spine == "any", ID_PATTERNS[ids], ordered, tag, bare)
     text, keys = F.col(value).cast("string"), root_keys(root)
     if layout == "flat" or strategy == "path_map":
+        every = [t for g in groups for t in g.templates]
+        plain = TypedRecord.try_build(every, ())
+        df = df.select(*keep, text.alias("__text"))
+        if plain is not None:
+            wanted = T.StructType(plain.schema.fields[:-1])  # without the column of what does not fit
+            read = plain_record(F.col("__text"), keys, plain.tree, wanted, ids == "any")
+            df = df.select(*keep, "__text", read.alias("__plain"))
+            df = df.select(*keep, "__plain", F.when(F.col("__plain").isNull(), F.col("__text")).alias("__text"))
+        held = [c for c in df.columns if c != "__text"]
         if layout == "flat":
-            paths = flat_keys(df, text, keep, keys, "__paths")
+            paths = flat_keys(df, F.col("__text"), held, keys, "__paths")
         else:
-            paths = df.select(*keep, path_map(text, keys).alias("__paths"))
+            paths = df.select(*held, sql_path_map(F.col("__text"), keys).alias("__paths"))
         readers = [PathRecord(g.templates, ID_PATTERNS[ids]) for g in groups]
         nodes = [f"__node{n}" for n in range(len(groups))]
-        return paths.select(*keep, *[F.expr(r.node("__paths")).alias(n) for r, n in zip(readers, nodes)]), build.rows(readers, nodes)
+        rows = build.rows(readers, nodes)
+        if plain is not None:
+            rows = f"CASE WHEN __plain IS NOT NULL THEN {build.record_rows(plain, '__plain')} ELSE {rows} END"
+        return paths.select(*held, *[F.expr(r.node("__paths")).alias(n) for r, n in zip(readers, nodes)]), rows
     variant = VariantRecord(keys)
     strings = [PathRecord(g.templates, ID_PATTERNS[ids]) for g in groups]
 

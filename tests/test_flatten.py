@@ -9,8 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from pathloom import flatten_groups, flatten_paths, path_map, prune_paths
-from pathloom.functions.records import template_regex, trie_regex
-from pathloom.operators.flatten import STRATEGIES
+from pathloom.functions.leaves import leaves, plain_paths
+from pathloom.functions.records import TypedRecord, template_regex, trie_regex
+from pathloom.operators.flatten import OPEN_FILES, STRATEGIES
+from pathloom.operators.pathmap import sql_path_map
 from pathloom.plans.templates import normalise, plan_groups
 
 PEN = "Device.Farm.Yard.Pen.{i}."
@@ -552,3 +554,63 @@ def test_random_records(spark, random_records, mode, spine, strategy):
     found = [tuple(r) for r in df.collect()]
     assert sorted(found, key=repr) == sorted(wanted, key=repr)
     assert len(found) > 400
+
+
+def test_groups_are_stored_without_a_sort(spark, tmp_path):
+    groups = flatten_groups(frame(spark, TREE).repartition(1), ["Device.Farm.Size", *FARM], keep=["n"])
+    sorts = []
+    real = type(spark.range(1).write).parquet
+
+    def parquet(writer, path):
+        sorts.append(int(spark.conf.get(OPEN_FILES)))
+        return real(writer, path)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(spark.range(1).write), "parquet", parquet)
+        stored = groups.store(str(tmp_path / "groups"))
+    assert sorts == [len(groups)] and spark.conf.get(OPEN_FILES) == "0"
+    assert [rows_of(df) for df in stored] == [rows_of(groups[n]) for n in range(len(groups))]
+
+
+PLAIN = [
+    '{"D":{"e":{"1":{"X":"a","Y":2},"03":{"X":true},"b":{"X":"c"},"2":{"Y":-7}}},"n":null}',
+    '{"D.e.1":{"X":"dotted"},"D":{"e":{"1":{"X":"nested"},"2":{"X":"x"}}}}',
+    '{"D":{"e":{"1":{"X":1}}},"D":{"e":{"1":{"X":5,"X":6},"2":{"X":7}}}}',
+    '{"D":{"e":{"10":{"X":"ü\\n"},"9":{"X":"","Z":{"q":"r"}}},"":{"":"empty"}}}',
+    '{"a":' * 40 + '"deep"' + "}" * 40,
+]
+NOT_PLAIN = [
+    '{"D":{"e":{"1":{"X":1.50}}}}', '{"D":{"e":{"1":{"X":[1,{"a":2}]}}}}', '{"D":{"e":{"1":{"X":12345678901234567890}}}}',
+    '{"D":{"e":{"1":{"X":"\\ud83d"}}}}', '{"D":{"e":{"1":{"X":-0}}}}', '{"D":{"e":{"1":{"X":NaN}}}}', '{"D":{}}', "{}", "[1]", "1", "", "{",
+    '{"D":{"e":{"1":{"X":1}}}} x', '{"D":{"e":{"1":{"X":"' + "x" * 70_000 + '"}}}}', None,
+]
+
+
+def test_plain_records_need_no_sql():
+    assert [leaves(t) is not None for t in [*PLAIN, *NOT_PLAIN]][: len(PLAIN)] == [True] * len(PLAIN)
+    assert all(leaves(t) is None for t in NOT_PLAIN if t is None or len(t) < 60_000)
+    assert leaves(PLAIN[1]) == {"D.e.1.X": "nested", "D.e.2.X": "x"}
+    assert leaves(PLAIN[2], ["D"]) == {"e.1.X": "6", "e.2.X": "7"}
+
+
+@pytest.mark.parametrize("root", [None, "D"])
+def test_batches_read_as_sql_does(spark, root):
+    texts = frame(spark, *PLAIN, *NOT_PLAIN).union(spark.sql("SELECT 99, cast(X'7B2261223A2280227D' AS string)"))
+    keys = [root] if root else []
+    both = texts.select(path_map(F.col("value"), root).alias("found"), sql_path_map(F.col("value"), keys).alias("wanted"), plain_paths(F.col("value"), keys).alias("plain"))
+    rows = both.collect()
+    assert [r.found for r in rows] == [r.wanted for r in rows]
+    assert sum(r.plain is not None for r in rows) >= len(PLAIN) - 1
+
+
+@pytest.mark.parametrize("ids", ["numeric", "any"])
+@pytest.mark.parametrize("layout", ["nested", "flat"])
+def test_plain_records_give_the_rows_of_sql(spark, monkeypatch, ids, layout):
+    texts = frame(spark, *PLAIN, *NOT_PLAIN, '{"D":{"e":{"1":{"X":null},"2":{"X":1}}},"n":5}')
+    options = dict(keep=["n"], strategy="path_map", layout=layout, ids=ids, position="place")
+    wanted = ["D.e.{i}.X", "D.e.{i}.Y", ("n", "N"), ("D.q", "Q")]
+    quick = flatten_paths(texts.withColumnRenamed("n", "k"), wanted, **options | {"keep": ["k"]})
+    found = rows_of(quick)
+    assert any(name.startswith("__plain") for name in re.findall(r"__\w+", quick._jdf.queryExecution().optimizedPlan().toString()))
+    monkeypatch.setattr(TypedRecord, "try_build", classmethod(lambda *_: None))
+    assert found == rows_of(flatten_paths(texts.withColumnRenamed("n", "k"), wanted, **options | {"keep": ["k"]}))
