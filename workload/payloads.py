@@ -36,7 +36,8 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     lines = (
         table(spark, sf_dir, "lineitem")
-        .withColumn("line_block", F.expr(f"l_linenumber div {LINE_BLOCK}"))
+        .select("l_orderkey", F.expr(f"l_linenumber div {LINE_BLOCK}").alias("line_block"), "l_linenumber", "l_quantity", "l_returnflag")
+        .repartition("l_orderkey", "line_block")  # one shuffle for both groupings
         .groupBy("l_orderkey", "line_block", "l_linenumber")
         .agg(F.sum("l_quantity").cast("bigint").alias("qty"), F.max("l_returnflag").alias("flag"))
         .groupBy("l_orderkey", "line_block")
